@@ -41,10 +41,10 @@ def recode(
         .agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
         .select("__key", F.when(F.col("__low") == F.col("__high"), F.col("__low")).alias("__code"))
     )
-    found: Column = F.col("__code")
+    found: Column = entries["__code"]
     for code, fixed in (overrides or {}).items():
         found = if_else(df[source] == F.lit(code), F.lit(fixed), found)
-    others = [F.col(c) for c in df.columns if c != into]
+    others = [df[c] for c in df.columns if c != into]
     return df.join(entries, df[source] == entries["__key"], "left").select(
         *others, found.alias(into)
     )

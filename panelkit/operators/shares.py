@@ -33,12 +33,13 @@ def add_stack(
 
     Meant for summarised tables, with one row per layer within a group.
     """
-    below = (
-        Window.partitionBy(*within)
-        .orderBy(F.col(layer).desc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    downwards = Window.partitionBy(*within).orderBy(F.col(layer).desc_nulls_first())
+    below = downwards.rowsBetween(Window.unboundedPreceding, -1)
+    upto = downwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     low, high = bounds
-    return df.withColumn(high, F.sum(height).over(below)).withColumn(
-        low, F.col(high) - F.col(height)
+    return df.withColumns(
+        {
+            low: F.coalesce(F.sum(height).over(below), F.lit(0)),
+            high: F.sum(height).over(upto),
+        }
     )

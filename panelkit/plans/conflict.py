@@ -42,8 +42,8 @@ def conflict_panel(
     def relabel(partial: DataFrame) -> DataFrame:
         source = code
         if codes is not None:
-            partial = recode(partial, code, codes, "__code")
-            source = "__code"
+            partial = recode(partial, code, codes, "__country")
+            source = "__country"
         return recode(partial, source, dictionary, "iso3", overrides).where(
             is_present(F.col("iso3"))
         )
