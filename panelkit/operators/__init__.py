@@ -9,7 +9,7 @@ from .deflate import deflate, price_index
 from .joins import left_join, require_unique
 from .recode import lookup_table, recode, recode_names
 from .retype import guess_types, retype
-from .rows import arrange, drop_first_rows
+from .rows import arrange, drop_first_rows, first_rows
 from .shares import add_share, add_stack
 from .spatial import (
     count_in_polygons, covered_by, keep_inside, match_points, point_columns,
@@ -20,7 +20,8 @@ from .staging import fits_in_broadcast, settle
 __all__ = [
     "Measure", "add_in_stages", "add_share", "add_stack", "arrange", "bind_rows",
     "col_range", "complete", "complete_sum", "count_in_polygons", "covered_by",
-    "deflate", "distinct_rows", "drop_first_rows", "drop_suffix", "fits_in_broadcast",
+    "deflate", "distinct_rows", "drop_first_rows", "drop_suffix", "first_rows",
+    "fits_in_broadcast",
     "group_constant", "guess_types", "harmonise", "keep_inside", "left_join",
     "lenient_sum", "lookup_table", "match_points", "measure_present", "measure_rows",
     "point_columns", "price_index", "recode", "recode_names", "replace_missing",

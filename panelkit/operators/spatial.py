@@ -5,6 +5,8 @@ over all rings of all parts. It is cut into tiles, one per grid cell it may touc
 exactly one cell, so joining on the cell neither loses nor repeats a match, whatever the cell
 size. Each tile carries only the edges that can decide a point of that cell: those that span
 the cell's row and reach it or lie to its right, since the test counts crossings to the right.
+A cell that no edge enters is inside or outside as a whole, which is decided once per tile: its
+points need no test, and outside tiles are left out.
 """
 
 from __future__ import annotations
@@ -17,8 +19,12 @@ from pyspark.sql import functions as F
 from .aggregate import Measures, summarise
 from .staging import BROADCAST_BYTES, fits_in_broadcast
 
-EDGE_BYTES = 40
+EDGE_BYTES = 56
 SALTS = 32
+CELL_EDGES = (
+    "array<struct<e: struct<x1: double, y1: double, x2: double, y2: double>, "
+    "left: bigint, right: bigint, low: bigint, high: bigint>>"
+)
 
 
 def point_columns(
@@ -85,7 +91,7 @@ def tile_polygons(
     tolerance: float = 0.0,
     max_width: float = 180.0,
 ) -> DataFrame:
-    """One row (id, tile_x, tile_y, tile_edges) per grid cell a polygon may touch.
+    """One row (id, tile_x, tile_y, tile_inside, tile_edges) per grid cell a polygon may touch.
 
     No shuffle beyond spreading the polygons. A polygon wider than ``max_width`` most likely
     crosses the date line, where planar tests are wrong, and fails the query.
@@ -105,54 +111,48 @@ def tile_polygons(
         F.transform(F.col(edges), lambda e: F.greatest(e.x1, e.x2))
     ) - F.array_min(F.transform(F.col(edges), lambda e: F.least(e.x1, e.x2)))
     message = F.concat(F.lit("polygon too wide: "), F.col(id_col).cast("string"))
-    checked = F.when(width <= max_width, cells).otherwise(
-        F.raise_error(message).cast("array<struct<e:struct<x1:double,y1:double,x2:double,"
-                                 "y2:double>,left:bigint,right:bigint,low:bigint,high:bigint>>")
-    )
-    c = F.col("__cells")
+    checked = F.when(
+        width > max_width, F.raise_error(message).cast(CELL_EDGES)
+    ).otherwise(cells)
+
+    def span(low: str, high: str) -> Column:
+        # NULL for a polygon without edges, which then has no tiles
+        return F.sequence(
+            F.array_min(F.transform("__cells", lambda e: e[low])),
+            F.array_max(F.transform("__cells", lambda e: e[high])),
+        )
+
+    tile_x, tile_y = F.col("tile_x"), F.col("tile_y")
+    in_row = F.filter("__cells", lambda e: (e.low <= tile_y) & (tile_y <= e.high))
     bands = (
-        polygons.where(F.size(edges) > 0)
-        .select(F.col(id_col), F.col(edges))
+        polygons.select(id_col, edges)
         .repartition(F.col(id_col))
-        .select(F.col(id_col), checked.alias("__cells"))
-        .select(
-            id_col,
-            "__cells",
-            F.explode(
-                F.sequence(
-                    F.array_min(F.transform(c, lambda e: e.low)),
-                    F.array_max(F.transform(c, lambda e: e.high)),
-                )
-            ).alias("tile_y"),
-        )
-        .select(
-            id_col,
-            "tile_y",
-            F.filter(
-                c, lambda e: (e.low <= F.col("tile_y")) & (F.col("tile_y") <= e.high)
-            ).alias("__cells"),
-        )
-        .where(F.size("__cells") > 0)
+        .select(id_col, checked.alias("__cells"))
+        .select(id_col, "__cells", F.explode(span("low", "high")).alias("tile_y"))
+        .select(id_col, "tile_y", in_row.alias("__cells"))
+    )
+    tiles = bands.select(
+        id_col, "tile_y", "__cells", F.explode(span("left", "right")).alias("tile_x")
+    ).select(
+        id_col,
+        "tile_x",
+        "tile_y",
+        F.exists("__cells", lambda e: (e.left <= tile_x) & (tile_x <= e.right)).alias("__entered"),
+        F.transform(
+            F.filter("__cells", lambda e: e.right >= tile_x), lambda e: e.e
+        ).alias("__edges"),
     )
+    middle_x, middle_y = (tile_x + 0.5) * F.lit(float(cell)), (tile_y + 0.5) * F.lit(float(cell))
+    inside = ~F.col("__entered") & covered_by(F.col("__edges"), middle_x, middle_y)
     return (
-        bands.select(
-            id_col,
-            "tile_y",
-            "__cells",
-            F.explode(
-                F.sequence(
-                    F.array_min(F.transform(c, lambda e: e.left)),
-                    F.array_max(F.transform(c, lambda e: e.right)),
-                )
-            ).alias("tile_x"),
-        )
+        tiles.withColumn("tile_inside", inside)
+        .where(F.col("__entered") | F.col("tile_inside"))
         .select(
             id_col,
             "tile_x",
             "tile_y",
-            F.transform(
-                F.filter(c, lambda e: e.right >= F.col("tile_x")), lambda e: e.e
-            ).alias("tile_edges"),
+            "tile_inside",
+            F.when(~F.col("tile_inside"), F.col("__edges")).alias("tile_edges"),
         )
     )
 
@@ -179,8 +179,9 @@ def _join_tiles(
         {"__cell_x": _cell(F.col(x), cell), "__cell_y": _cell(F.col(y), cell)}
     )
     on = (F.col("__cell_x") == F.col("tile_x")) & (F.col("__cell_y") == F.col("tile_y"))
-    exact = covered_by(F.col("tile_edges"), F.col(x), F.col(y), tolerance)
-    if fits_in_broadcast(tiles, F.size("tile_edges") * EDGE_BYTES + 64, broadcast_bytes):
+    exact = F.col("tile_inside") | covered_by(F.col("tile_edges"), F.col(x), F.col(y), tolerance)
+    tile_bytes = F.coalesce(F.size("tile_edges"), F.lit(0)) * EDGE_BYTES + 64
+    if fits_in_broadcast(tiles, tile_bytes, broadcast_bytes):
         joined = points.join(F.broadcast(tiles), on & exact, how)
     else:
         # the partition number parts even identical rows, and is the same when a task is rerun
@@ -194,7 +195,8 @@ def _join_tiles(
         on = on & (F.col("__salt") == F.col("__tile_salt"))
         joined = points.join(tiles, on & exact, how)
     return joined.drop(
-        "__cell_x", "__cell_y", "tile_x", "tile_y", "tile_edges", "__salt", "__tile_salt"
+        "__cell_x", "__cell_y", "tile_x", "tile_y", "tile_inside", "tile_edges",
+        "__salt", "__tile_salt",
     )
 
 
