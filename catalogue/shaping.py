@@ -75,18 +75,19 @@ def flt_not_in_keep_null(spark, sf_dir):
       AND nullif(o_orderpriority, '5-LOW') IS NOT NULL AND o_orderstatus = 'F'""",
 )
 def flt_range_not_null(spark, sf_dir):
+    """Range, threshold, equality and presence; the first three reach the file reader."""
     priority = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority"))
     return (
         table(spark, sf_dir, "orders")
-        .where(F.col("o_orderstatus") == "F")
-        .select("o_orderkey", "o_totalprice", year_of("o_orderdate").alias("year"),
-                priority.alias("priority"))
         .where(
-            F.col("year").between(1996, 2000)
+            pf.year_between(F.col("o_orderdate"), 1996, 2000)
             & (F.col("o_totalprice") >= 100000)
-            & pf.is_present(F.col("priority"))
+            & (F.col("o_orderstatus") == "F")
         )
-        .drop("o_totalprice")
+        .select(
+            "o_orderkey", year_of("o_orderdate").alias("year"), priority.alias("priority")
+        )
+        .where(pf.is_present(F.col("priority")))
     )
 
 

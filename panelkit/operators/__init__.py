@@ -3,7 +3,9 @@
 from .aggregate import Measure, complete_sum, group_constant, lenient_sum, measure_rows
 from .aggregate import measure_present, summarise, summarise_through
 from .bind import bind_rows, distinct_rows, harmonise
-from .columns import add_in_stages, col_range, drop_suffix, replace_missing, transmute
+from .columns import (
+    add_in_stages, apply_to, col_range, drop_suffix, replace_missing, transmute,
+)
 from .complete import complete
 from .deflate import deflate, price_index
 from .joins import left_join, require_unique
@@ -18,7 +20,7 @@ from .spatial import (
 from .staging import fits_in_broadcast, settle
 
 __all__ = [
-    "Measure", "add_in_stages", "add_share", "add_stack", "arrange", "bind_rows",
+    "Measure", "add_in_stages", "add_share", "add_stack", "apply_to", "arrange", "bind_rows",
     "col_range", "complete", "complete_sum", "count_in_polygons", "covered_by",
     "deflate", "distinct_rows", "drop_first_rows", "drop_suffix", "first_rows",
     "fits_in_broadcast",

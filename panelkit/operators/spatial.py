@@ -122,11 +122,13 @@ def tile_polygons(
             F.array_max(F.transform("__cells", lambda e: e[high])),
         )
 
+    # a fixed number of partitions, as few bytes of edges can make many tiles
+    tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tile_x, tile_y = F.col("tile_x"), F.col("tile_y")
     in_row = F.filter("__cells", lambda e: (e.low <= tile_y) & (tile_y <= e.high))
     bands = (
         polygons.select(id_col, edges)
-        .repartition(F.col(id_col))
+        .repartition(tasks, F.col(id_col))
         .select(id_col, checked.alias("__cells"))
         .select(id_col, "__cells", F.explode(span("low", "high")).alias("tile_y"))
         .select(id_col, "tile_y", in_row.alias("__cells"))
@@ -284,6 +286,8 @@ def spatial_left_join(
     matched = match_points(points, polygons, id_col, x, y, cell, **options)
     matched = matched.withColumnRenamed(id_col, "__id")
     sides = polygons.select(F.col(id_col).alias("__polygon"), *[F.col(c) for c in carry])
+    if fits_in_broadcast(sides, F.length(F.to_json(F.struct(*sides.columns))) + 64):
+        sides = F.broadcast(sides)
     pairs = matched.join(sides, matched["__id"] == sides["__polygon"]).drop("__id", "__polygon")
     hit = matched.select("__id").distinct()
     alone = polygons.join(hit, polygons[id_col] == hit["__id"], "left_anti").select(*carry)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -20,15 +23,25 @@ def fits_in_broadcast(df: DataFrame, row_bytes: Column | int, limit: int = BROAD
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write an intermediate table once so that several branches do not recompute it.
+    """Write an intermediate table once and read it back, so that branches do not recompute it.
 
     For tables that are much smaller than what they are made of, such as a panel out of raw
-    events. The rows go to the checkpoint folder of the session and survive lost executors.
+    events. It goes as Parquet to the checkpoint folder of the session, which all executors
+    share: it outlives lost executors, its columns can still be pruned, and its size is known
+    when a join is planned.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
+    spark = df.sparkSession
+    path = f"{_shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="panelkit-"))
+        folder = context.getCheckpointDir()
+    return folder

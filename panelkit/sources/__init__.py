@@ -1,6 +1,6 @@
 """Readers and writers."""
 
-from .catalogue import first_datasets, pick_files, picked_paths
+from .catalogue import first_datasets, pick_files, picked_paths, read_first_matches
 from .delimited import (
     possibly, read_drifting_csv, read_key_file, read_table, read_with_preamble, readable_paths,
 )
@@ -9,6 +9,7 @@ from .sinks import write_panel_csv, write_polygons
 
 __all__ = [
     "first_datasets", "parse_features", "pick_files", "picked_paths", "polygon_columns",
-    "polygon_wkt", "possibly", "read_drifting_csv", "read_geojson", "read_key_file",
+    "polygon_wkt", "possibly", "read_drifting_csv", "read_first_matches", "read_geojson",
+    "read_key_file",
     "read_table", "read_with_preamble", "readable_paths", "write_panel_csv", "write_polygons",
 ]

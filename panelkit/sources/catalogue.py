@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .delimited import read_drifting_csv
+
 
 def first_datasets(
     catalogue: DataFrame,
@@ -52,3 +54,18 @@ def picked_paths(picked: DataFrame, rows: int = 500, path: str = "path") -> list
     if len(found) > rows:
         raise ValueError(f"more than {rows} files; raise the limit or use first_datasets")
     return found
+
+
+def read_first_matches(
+    spark: SparkSession,
+    catalogue: DataFrame,
+    pattern: str,
+    casts: Mapping[str, str] | None = None,
+    rows: int = 500,
+) -> DataFrame:
+    """The first matching file of each found dataset, all stacked by column name.
+
+    Files that are absent or cannot be decoded are left out.
+    """
+    picked = pick_files(first_datasets(catalogue, rows), pattern)
+    return read_drifting_csv(spark, picked_paths(picked, rows), casts)

@@ -1,0 +1,5 @@
+"""Empty on purpose: the reference has no streams, so there is nothing to rebuild here.
+
+The column rules and row-wise steps (recoding, classification, tile joins) are ordinary
+expressions and also work on a streaming DataFrame.
+"""

@@ -100,3 +100,13 @@ def test_three_valued_logic(spark):
 
 def test_day_in_year(spark):
     assert spark.range(1).select(pf.day_in_year(F.lit(2019))).first()[0] == dt.date(2019, 6, 1)
+
+
+def test_year_between(spark):
+    stamps = [dt.datetime(y, m, d) for y, m, d in
+              [(1995, 12, 31), (1996, 1, 1), (2000, 12, 31), (2001, 1, 1)]] + [None]
+    df = spark.createDataFrame([(s,) for s in stamps], "t timestamp_ntz").coalesce(1)
+    out = [r[0] for r in df.select(pf.year_between(F.col("t"), 1996, 2000)).collect()]
+    assert out == [False, True, True, False, None]
+    days = df.select(pf.year_between(F.to_date("t"), 1996, 2000))
+    assert [r[0] for r in days.collect()] == out

@@ -30,6 +30,13 @@ def test_left_join_on_two_keys_and_clashing_names(spark, rows):
     assert rows(out) == [("A", 2000, 1, 7), (None, 2000, 2, None)]
 
 
+def test_left_join_of_a_table_with_itself(spark, rows):
+    df = spark.createDataFrame([("A", 1), (None, 2)], "k string, v int")
+    assert rows(op.left_join(df, df, "k")) == [("A", 1, 1), (None, 2, 2)]
+    doubled = df.groupBy("k").agg(F.sum("v").alias("total"))
+    assert rows(op.left_join(df, doubled, "k")) == [("A", 1, 1), (None, 2, 2)]
+
+
 def test_left_join_is_an_equi_join(spark):
     left = spark.createDataFrame([("A", 1)], "k string, l int")
     right = spark.createDataFrame([("A", 10)], "k string, r int")

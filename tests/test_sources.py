@@ -3,8 +3,10 @@
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from panelkit import plans
 from panelkit import sources as src
 
 
@@ -24,6 +26,11 @@ def test_catalogue(spark, rows):
     assert rows(src.pick_files(files, nth=3), "path") == [("p3",)]
     assert rows(src.first_datasets(files, 1), "path") == [("p1",), ("p2",), ("p3",)]
     assert src.picked_paths(picked) == ["p2", "p4"]
+    with pytest.raises(ValueError, match="more than 1"):
+        src.picked_paths(picked, rows=1)
+    third = src.pick_files(files, nth=3)
+    plan = third._sc._jvm.PythonSQLUtils.explainString(third._jdf.queryExecution(), "simple")
+    assert plan.count("WindowGroupLimit") == 2
 
 
 def test_drifting_files(spark, rows, tmp_path):
@@ -42,6 +49,29 @@ def test_drifting_files(spark, rows, tmp_path):
     assert src.readable_paths(spark, paths) == paths[:3]
 
 
+def test_catalogue_to_panel(spark, rows, tmp_path):
+    """From a catalogue of files to the gap-free funding panel."""
+    entries = []
+    for i, (name, text) in enumerate({
+        "fts_afg.csv": "countryCode,year,requirements,funding,typeName\nAFG,2001,5,NA,7\nAFG,2001,5,NA,7\n",
+        "fts_tcd.csv": "countryCode,year,requirements,funding\nTCD,2000,1.25,1\n",
+        "fts_mli.csv": "funding,countryCode,year,requirements,typeName\n2,MLI,1999,3,x\n",
+    }.items()):
+        entries.append((f"d{i}", 1, "notes.txt", str(tmp_path / "nowhere.txt")))
+        entries.append((f"d{i}", 2, name, write(tmp_path / name, text)))
+    entries.append(("d9", 1, "fts_gon.csv", str(tmp_path / "gone.csv")))
+    files = spark.createDataFrame(
+        entries, "dataset string, position int, name string, path string")
+    casts = {"year": "int", "requirements": "double", "funding": "double"}
+    raw = src.read_first_matches(spark, files, "fts_[a-z]{3}.csv", casts)
+    panel = plans.funding_panel(raw, 2000, 2001)
+    assert rows(panel) == [
+        ("AFG", 2000, 0.0, 0.0), ("AFG", 2001, 5.0, 0.0),
+        ("MLI", 1999, 3.0, 2.0), ("MLI", 2000, 0.0, 0.0), ("MLI", 2001, 0.0, 0.0),
+        ("TCD", 2000, 1.25, 1.0), ("TCD", 2001, 0.0, 0.0),
+    ]
+
+
 def test_corrupt_file_is_skipped(spark, rows, tmp_path):
     good = tmp_path / "a.csv.gz"
     good.write_bytes(gzip.compress(b"k,v\nA,1\n"))
