@@ -98,10 +98,12 @@ def _through_seen(df, by, over, kind, start, stop, keys) -> DataFrame:
     seen = df.select(*by, inside)
     if keys is not None:
         seen = seen.unionByName(keys.select(*by), allowMissingColumns=True)
+    # the distinct pairs are found by hashing, map side first; a set gathered straight from the
+    # rows would fall back to sorting them where there are many entities
     gaps = (
         seen.distinct()
         .groupBy(*by)
-        .agg(F.collect_set(over).alias("__seen"))
+        .agg(F.collect_list(over).alias("__seen"))
         .select(
             *by,
             F.explode(F.array_except(F.sequence(low, high), F.col("__seen"))).alias(over),
