@@ -17,10 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .aggregate import Measures, summarise
-from .staging import BROADCAST_BYTES, fits_in_broadcast
+from .staging import BROADCAST_BYTES, fits_in_broadcast, settle
 
 EDGE_BYTES = 56
-SALTS = 32
 CELL_EDGES = (
     "array<struct<e: struct<x1: double, y1: double, x2: double, y2: double>, "
     "left: bigint, right: bigint, low: bigint, high: bigint>>"
@@ -159,6 +158,24 @@ def tile_polygons(
     )
 
 
+def _crowded_cells(points: DataFrame) -> DataFrame:
+    """(crowd_x, crowd_y, pieces) of the cells that hold more than one task's share of points.
+
+    ``pieces`` is the number of shares. The shares of all cells add up to the number of tasks,
+    so the table has fewer rows than there are tasks, however the points lie.
+    """
+    spark = points.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = settle(
+        points.groupBy(
+            F.col("__cell_x").alias("crowd_x"), F.col("__cell_y").alias("crowd_y")
+        ).agg(F.count(F.lit(1)).alias("n"))
+    )
+    total = cells.agg(F.sum("n")).first()[0] or 0
+    pieces = F.ceil(F.col("n") * F.lit(tasks) / F.lit(max(total, 1))).cast("int")
+    return cells.select("crowd_x", "crowd_y", pieces.alias("pieces")).where("pieces > 1")
+
+
 def _join_tiles(
     points: DataFrame,
     tiles: DataFrame,
@@ -168,15 +185,15 @@ def _join_tiles(
     how: str,
     tolerance: float,
     broadcast_bytes: int,
-    salts: int,
 ) -> DataFrame:
     """Join points to the tiles of their cell, then test exactly.
 
     Tiles of a measured, small size are broadcast: the points are then not shuffled at all, and
     a crowded cell is no problem. Beyond that size both sides are shuffled on the cell and a
-    salt: the rows of a crowded cell are dealt out to ``salts`` tasks, each with its own copy
-    of that cell's tiles.
+    salt: the points of a crowded cell are dealt out to as many pieces as it has shares, each
+    with its own copy of that cell's tiles; all other cells stay whole.
     """
+    names = points.columns
     points = points.withColumns(
         {"__cell_x": _cell(F.col(x), cell), "__cell_y": _cell(F.col(y), cell)}
     )
@@ -184,21 +201,36 @@ def _join_tiles(
     exact = F.col("tile_inside") | covered_by(F.col("tile_edges"), F.col(x), F.col(y), tolerance)
     tile_bytes = F.coalesce(F.size("tile_edges"), F.lit(0)) * EDGE_BYTES + 64
     if fits_in_broadcast(tiles, tile_bytes, broadcast_bytes):
-        joined = points.join(F.broadcast(tiles), on & exact, how)
+        tiles = F.broadcast(tiles)
     else:
+        crowded = F.broadcast(_crowded_cells(points))
+        pieces = F.coalesce(F.col("pieces"), F.lit(1))
         # the partition number parts even identical rows, and is the same when a task is rerun
-        columns = [F.col(c) for c in points.columns]
-        points = points.withColumn(
-            "__salt", F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+        spread = F.xxhash64(*points.columns, F.spark_partition_id())
+        points = (
+            points.withColumn("__spread", spread)
+            .join(
+                crowded,
+                (F.col("__cell_x") == F.col("crowd_x")) & (F.col("__cell_y") == F.col("crowd_y")),
+                "left",
+            )
+            .withColumn("__salt", F.pmod(F.col("__spread"), pieces).cast("int"))
+            .select(*names, "__cell_x", "__cell_y", "__salt")
+        )
+        tiles = (
+            tiles.join(
+                crowded,
+                (F.col("tile_x") == F.col("crowd_x")) & (F.col("tile_y") == F.col("crowd_y")),
+                "left",
+            )
+            .withColumn("tile_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
+            .drop("crowd_x", "crowd_y", "pieces")
+            .hint("shuffle_hash")
         )
-        tiles = tiles.withColumn(
-            "__tile_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        ).hint("shuffle_hash")
-        on = on & (F.col("__salt") == F.col("__tile_salt"))
-        joined = points.join(tiles, on & exact, how)
-    return joined.drop(
-        "__cell_x", "__cell_y", "tile_x", "tile_y", "tile_inside", "tile_edges",
-        "__salt", "__tile_salt",
+        on = on & (F.col("__salt") == F.col("tile_salt"))
+    return points.join(tiles, on & exact, how).drop(
+        "__cell_x", "__cell_y", "__salt",
+        "tile_x", "tile_y", "tile_salt", "tile_inside", "tile_edges",
     )
 
 
@@ -211,12 +243,11 @@ def match_points(
     cell: float = 1.0,
     tolerance: float = 0.0,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Each point with the id of each polygon that covers it; points outside all are left out."""
     tiles = tile_polygons(polygons, id_col, cell, tolerance=tolerance)
     return _join_tiles(
-        points, tiles, x, y, cell, "inner", tolerance, broadcast_bytes, salts
+        points, tiles, x, y, cell, "inner", tolerance, broadcast_bytes
     )
 
 
@@ -229,12 +260,11 @@ def keep_inside(
     cell: float = 1.0,
     tolerance: float = 0.0,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """The points that lie in any of the polygons, each once."""
     tiles = tile_polygons(polygons, id_col, cell, tolerance=tolerance)
     return _join_tiles(
-        points, tiles, x, y, cell, "left_semi", tolerance, broadcast_bytes, salts
+        points, tiles, x, y, cell, "left_semi", tolerance, broadcast_bytes
     )
 
 

@@ -14,7 +14,7 @@ from ..operators.bind import bind_rows
 NA = "NA"
 
 
-def possibly(read: Callable[..., DataFrame], otherwise=None) -> Callable[..., DataFrame | None]:
+def possibly(read: Callable, otherwise=None) -> Callable:
     """A reader that returns ``otherwise`` where the source is absent or has no usable schema."""
 
     def attempt(*args, **kwargs):
@@ -66,13 +66,14 @@ def read_drifting_csv(
     """Many CSV files whose columns differ, as one table.
 
     Spark applies one schema by position to all paths of a read, so files are first grouped by
-    their header (only that line is read), each layout is read once as text, and the layouts
-    are stacked by name. Absent files are skipped. ``casts`` turns text into types; what does
+    their header (only that line is read; the search limit bounds the number of files), each
+    layout is read once as text, and the layouts are stacked by name. Absent files are skipped. ``casts`` turns text into types; what does
     not fit is NULL.
     """
+    header_of = possibly(lambda p: spark.read.option("header", True).csv(p).columns)
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for path in readable_paths(spark, paths):
-        header = tuple(spark.read.option("header", True).csv(path).columns)
+    for path in paths:
+        header = tuple(header_of(path) or ())
         if header:
             layouts.setdefault(header, []).append(path)
     tables = []

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelkit import operators as op
 from panelkit import sources as src
+from panelkit.operators.spatial import _crowded_cells
 
 # A concave ring, a square with a hole, an overlapping square, two far parts, and an empty spot.
 SHAPES = {
@@ -84,14 +85,39 @@ def test_shuffled_and_salted_join_gives_the_same(lattice, polygons, rows):
     crowded = points.unionByName(points.where("id = 10"))
     for i in range(3):
         crowded = crowded.unionByName(points.where("id = 10"))
-    joined = op.match_points(crowded, polygons, "name", broadcast_bytes=0, salts=5)
+    joined = op.match_points(crowded, polygons, "name", broadcast_bytes=0)
     wide = op.match_points(crowded, polygons, "name")
     assert rows(joined, "id", "name") == rows(wide, "id", "name")
-    kept = op.keep_inside(points, polygons, "name", broadcast_bytes=0, salts=5)
+    kept = op.keep_inside(points, polygons, "name", broadcast_bytes=0)
+    assert kept.columns == points.columns
     assert {r[0] for r in rows(kept, "id")} == {i for i, _ in expected}
     assert kept.count() == len({i for i, _ in expected})
 
 
+def test_only_crowded_cells_are_dealt_out(spark, rows):
+    data = [(0, 0)] * 500 + [(1, i % 50) for i in range(500)]
+    points = spark.createDataFrame(data, "__cell_x long, __cell_y long")
+    crowded = _crowded_cells(points)
+    assert rows(crowded) == [(0, 0, 4)]  # half of the points are 4 shares of 8 tasks
+    even = spark.createDataFrame([(i, i) for i in range(64)], "__cell_x long, __cell_y long")
+    assert _crowded_cells(even).count() == 0
+    assert _crowded_cells(even.where("__cell_x < 0")).count() == 0
+
+
+def test_copies_of_one_point_are_spread(spark, polygons):
+    copies = spark.range(4000, numPartitions=40).select(
+        F.lit(1.0).alias("longitude"), F.lit(1.0).alias("latitude")
+    )
+    joined = op.match_points(copies, polygons, "name", broadcast_bytes=0)
+    option = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(option, "false")
+    try:
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset(option)
+    assert sum(sizes) == 8000 and len(sizes) > 2 and max(sizes) < 6000
+
+
 def test_keep_inside_gives_each_point_once(lattice, polygons):
     points, expected = lattice
     kept = op.keep_inside(points, polygons, "name")
