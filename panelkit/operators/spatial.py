@@ -3,10 +3,13 @@
 A polygon is a row with an ``edges`` column (see ``sources.geojson``): an array of segments
 over all rings of all parts. It is cut into tiles, one per grid cell it may touch. A point has
 exactly one cell, so joining on the cell neither loses nor repeats a match, whatever the cell
-size. Each tile carries only the edges that can decide a point of that cell: those that span
-the cell's row and reach it or lie to its right, since the test counts crossings to the right.
-A cell that no edge enters is inside or outside as a whole, which is decided once per tile: its
-points need no test, and outside tiles are left out.
+size.
+
+The test counts the edges to the right of the point. A tile holds only the edges that enter its
+cell. Of those further right just the count matters, and that is the same for the whole cell but
+for the heights at which their chain ends: a number and a few heights stand for them all, so the
+tiles of a polygon are about as large as the polygon, however wide it is. A cell that no edge
+enters is inside or outside as a whole: its points need no test, and outside tiles are left out.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from .aggregate import Measures, summarise
 from .staging import BROADCAST_BYTES, fits_in_broadcast, settle
 
-EDGE_BYTES = 56
+EDGE_BYTES, TILE_BYTES = 56, 96
 CELL_EDGES = (
     "array<struct<e: struct<x1: double, y1: double, x2: double, y2: double>, "
     "left: bigint, right: bigint, low: bigint, high: bigint>>"
@@ -45,10 +48,12 @@ def point_columns(
     )
 
 
-def covered_by(edges: Column, x: Column, y: Column, tolerance: float = 0.0) -> Column:
+def covered_by(
+    edges: Column, x: Column, y: Column, tolerance: float = 0.0, already: Column | None = None
+) -> Column:
     """Is the point inside or on the boundary? Even-odd over all edges, so holes just work.
 
-    The sign of the cross product tells on which side of an edge the point lies; 0 within the
+    ``already`` is the number of crossings known beforehand, by default 0. The sign of the cross product tells on which side of an edge the point lies; 0 within the
     edge's box is on the edge. There is no division. With a tolerance, a point that close to
     an edge counts as on it.
     """
@@ -74,7 +79,7 @@ def covered_by(edges: Column, x: Column, y: Column, tolerance: float = 0.0) -> C
             .otherwise(state)
         )
 
-    state = F.aggregate(edges, F.lit(0), step)
+    state = F.aggregate(edges, F.lit(0) if already is None else already, step)
     return (state < 0) | (state % 2 == 1)
 
 
@@ -90,7 +95,11 @@ def tile_polygons(
     tolerance: float = 0.0,
     max_width: float = 180.0,
 ) -> DataFrame:
-    """One row (id, tile_x, tile_y, tile_inside, tile_edges) per grid cell a polygon may touch.
+    """One row per polygon and grid cell it may touch.
+
+    (id, tile_x, tile_y, tile_inside, tile_edges, tile_base, tile_turns): a tile is inside as a
+    whole, or has the edges that enter it, the number of edges further right that pass below
+    its row, and the heights within the row at which such an edge starts or ends.
 
     No shuffle beyond spreading the polygons. A polygon wider than ``max_width`` most likely
     crosses the date line, where planar tests are wrong, and fails the query.
@@ -125,36 +134,51 @@ def tile_polygons(
     tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tile_x, tile_y = F.col("tile_x"), F.col("tile_y")
     in_row = F.filter("__cells", lambda e: (e.low <= tile_y) & (tile_y <= e.high))
-    bands = (
+    entering = F.filter("__cells", lambda e: (e.left <= tile_x) & (tile_x <= e.right))
+    heights = F.flatten(
+        F.transform(
+            F.filter("__cells", lambda e: e.left > tile_x), lambda e: F.array(e.e.y1, e.e.y2)
+        )
+    )
+    tiles = (
         polygons.select(id_col, edges)
         .repartition(tasks, F.col(id_col))
         .select(id_col, checked.alias("__cells"))
         .select(id_col, "__cells", F.explode(span("low", "high")).alias("tile_y"))
         .select(id_col, "tile_y", in_row.alias("__cells"))
-    )
-    tiles = bands.select(
-        id_col, "tile_y", "__cells", F.explode(span("left", "right")).alias("tile_x")
-    ).select(
-        id_col,
-        "tile_x",
-        "tile_y",
-        F.exists("__cells", lambda e: (e.left <= tile_x) & (tile_x <= e.right)).alias("__entered"),
-        F.transform(
-            F.filter("__cells", lambda e: e.right >= tile_x), lambda e: e.e
-        ).alias("__edges"),
-    )
-    middle_x, middle_y = (tile_x + 0.5) * F.lit(float(cell)), (tile_y + 0.5) * F.lit(float(cell))
-    inside = ~F.col("__entered") & covered_by(F.col("__edges"), middle_x, middle_y)
-    return (
-        tiles.withColumn("tile_inside", inside)
-        .where(F.col("__entered") | F.col("tile_inside"))
+        .select(id_col, "tile_y", "__cells", F.explode(span("left", "right")).alias("tile_x"))
         .select(
             id_col,
             "tile_x",
             "tile_y",
-            "tile_inside",
-            F.when(~F.col("tile_inside"), F.col("__edges")).alias("tile_edges"),
+            F.transform(entering, lambda e: e.e).alias("tile_edges"),
+            heights.alias("__heights"),
         )
+        .select(
+            id_col,
+            "tile_x",
+            "tile_y",
+            "tile_edges",
+            F.size(F.filter("__heights", lambda h: _cell(h, cell) < tile_y)).alias("tile_base"),
+            _odd_ones(
+                F.filter("__heights", lambda h: _cell(h, cell) == tile_y)
+            ).alias("tile_turns"),
+        )
+    )
+    whole = (F.size("tile_edges") == 0) & (F.size("tile_turns") == 0)
+    inside = whole & (F.col("tile_base") % 2 == 1)
+    return tiles.withColumn("tile_inside", inside).where(~whole | F.col("tile_inside"))
+
+
+def _odd_ones(values: Column) -> Column:
+    """The values that occur an odd number of times: where two edges meet, nothing changes."""
+    none = F.array().cast("array<double>")
+    return F.aggregate(
+        F.sort_array(values),
+        none,
+        lambda kept, v: F.when(
+            F.try_element_at(kept, F.lit(-1)) == v, F.slice(kept, 1, F.size(kept) - 1)
+        ).otherwise(F.concat(kept, F.array(v))),
     )
 
 
@@ -198,8 +222,10 @@ def _join_tiles(
         {"__cell_x": _cell(F.col(x), cell), "__cell_y": _cell(F.col(y), cell)}
     )
     on = (F.col("__cell_x") == F.col("tile_x")) & (F.col("__cell_y") == F.col("tile_y"))
-    exact = F.col("tile_inside") | covered_by(F.col("tile_edges"), F.col(x), F.col(y), tolerance)
-    tile_bytes = F.coalesce(F.size("tile_edges"), F.lit(0)) * EDGE_BYTES + 64
+    px, py = F.col(x), F.col(y)
+    already = F.col("tile_base") + F.size(F.filter("tile_turns", lambda height: height <= py))
+    exact = F.col("tile_inside") | covered_by(F.col("tile_edges"), px, py, tolerance, already)
+    tile_bytes = F.size("tile_edges") * EDGE_BYTES + F.size("tile_turns") * 8 + TILE_BYTES
     if fits_in_broadcast(tiles, tile_bytes, broadcast_bytes):
         tiles = F.broadcast(tiles)
     else:
@@ -230,7 +256,7 @@ def _join_tiles(
         on = on & (F.col("__salt") == F.col("tile_salt"))
     return points.join(tiles, on & exact, how).drop(
         "__cell_x", "__cell_y", "__salt",
-        "tile_x", "tile_y", "tile_salt", "tile_inside", "tile_edges",
+        "tile_x", "tile_y", "tile_salt", "tile_inside", "tile_edges", "tile_base", "tile_turns",
     )
 
 

@@ -1,6 +1,7 @@
 """Points in polygons against an independent loop over all pairs."""
 
 import json
+import math
 import random
 
 import pytest
@@ -94,6 +95,39 @@ def test_shuffled_and_salted_join_gives_the_same(lattice, polygons, rows):
     assert kept.count() == len({i for i, _ in expected})
 
 
+@pytest.mark.parametrize("cell", [0.37, 2.0])
+def test_ragged_ring(spark, rows, cell):
+    rng = random.Random(11)
+
+    def ring(n, low, high):
+        return [
+            [r * math.cos(2 * math.pi * i / n), r * math.sin(2 * math.pi * i / n)]
+            for i in range(n)
+            for r in [rng.uniform(low, high)]
+        ]
+
+    shape = {"type": "Polygon", "coordinates": [ring(400, 5, 9), ring(90, 1, 4)]}
+    text = json.dumps({"properties": {"name": "ragged"}, "geometry": shape})
+    polygon = src.parse_features(
+        spark.createDataFrame([(text,)], "f string"), "f", {"name": "string"})
+    points = [(i, rng.uniform(-10, 10), rng.uniform(-10, 10)) for i in range(2000)]
+    # the vertices themselves lie on the boundary
+    points += [(2000 + i, x, y) for i, (x, y) in enumerate(shape["coordinates"][0][:200])]
+    df = spark.createDataFrame(points, "id int, longitude double, latitude double")
+    expected = {i for i, x, y in points if inside(shape, x, y)}
+    kept = op.keep_inside(df, polygon, "name", cell=cell)
+    assert {r[0] for r in kept.select("id").collect()} == expected
+    tiles = op.tile_polygons(polygon, "name", cell)
+    held = tiles.agg(F.sum(F.size("tile_edges"))).first()[0]
+    spanned = sum(
+        (int(max(a[0], b[0]) // cell) - int(min(a[0], b[0]) // cell) + 1)
+        * (int(max(a[1], b[1]) // cell) - int(min(a[1], b[1]) // cell) + 1)
+        for r in shape["coordinates"] for a, b in zip(r, r[1:] + r[:1])
+    )
+    assert held == spanned  # each edge is held by the cells of its own box, by no others
+    assert tiles.where("size(tile_turns) > 40").count() == 0
+
+
 def test_only_crowded_cells_are_dealt_out(spark, rows):
     data = [(0, 0)] * 500 + [(1, i % 50) for i in range(500)]
     points = spark.createDataFrame(data, "__cell_x long, __cell_y long")
