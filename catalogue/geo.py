@@ -228,3 +228,19 @@ def geo_checked_points(spark, sf_dir):
     )
     kept = op.point_columns(places, bad="drop")
     return kept.agg(pf.n_rows().alias("n"), F.max("longitude").alias("east"))
+
+
+@register(
+    QUERIES,
+    """WITH places AS (SELECT CASE WHEN l_returnflag <> 'N' THEN l_extendedprice / 500 END AS x
+      FROM lineitem)
+    SELECT count(*) AS points, count(CASE WHEN x IS NULL THEN 1 END) AS missing,
+      count(CASE WHEN x NOT BETWEEN -180 AND 180 THEN 1 END) AS out_of_range FROM places""",
+)
+def geo_point_problems(spark, sf_dir):
+    """How many coordinates are missing or out of range."""
+    places = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_returnflag") != "N", F.col("l_extendedprice") / 500).alias("longitude"),
+        F.lit(0.0).alias("latitude"),
+    )
+    return op.point_problems(places)

@@ -14,7 +14,7 @@ from .retype import guess_types, retype
 from .rows import arrange, drop_first_rows, first_rows
 from .shares import add_share, add_stack
 from .spatial import (
-    count_in_polygons, covered_by, keep_inside, match_points, point_columns,
+    count_in_polygons, covered_by, keep_inside, match_points, point_columns, point_problems,
     spatial_left_join, tile_polygons,
 )
 from .staging import fits_in_broadcast, settle
@@ -26,7 +26,7 @@ __all__ = [
     "fits_in_broadcast",
     "group_constant", "guess_types", "harmonise", "keep_inside", "left_join",
     "lenient_sum", "lookup_table", "match_points", "measure_present", "measure_rows",
-    "point_columns", "price_index", "recode", "recode_names", "replace_missing",
+    "point_columns", "point_problems", "price_index", "recode", "recode_names", "replace_missing",
     "require_unique", "retype", "settle", "spatial_left_join", "summarise",
     "summarise_through", "tile_polygons", "transmute",
 ]

@@ -210,10 +210,17 @@ def test_bad_coordinates(spark):
         [(1.0, 1.0), (None, 2.0), (200.0, 3.0)], "longitude double, latitude double"
     )
     assert op.point_columns(df, bad="drop").count() == 1
+    assert tuple(op.point_problems(df).first()) == (3, 1, 1)
     with pytest.raises(PySparkException, match="bad coordinates"):
         op.point_columns(df).collect()
 
 
+def test_points_must_not_have_the_polygon_id(lattice, polygons):
+    points, _ = lattice
+    with pytest.raises(ValueError, match="name"):
+        op.match_points(points.withColumn("name", F.lit("x")), polygons, "name")
+
+
 def test_polygon_across_the_date_line_fails(spark):
     wide = json.dumps({"properties": {"name": "w"}, "geometry": {
         "type": "Polygon", "coordinates": [[[-179, 0], [179, 0], [179, 5], [-179, 0]]]}})
