@@ -201,19 +201,6 @@ def geo_left_join_rows(spark, sf_dir):
     return joined.select("area_id", "iso3", "c_custkey")
 
 
-@register(
-    QUERIES,
-    f"""WITH {AREAS} SELECT area_id, x AS xmin, 0::DOUBLE AS ymin, x + 6 AS xmax,
-      40::DOUBLE AS ymax, 5 AS n_edges FROM areas""",
-)
-def geo_boxes(spark, sf_dir):
-    """Box columns and edge count of parsed polygons."""
-    areas = nation_areas(spark, sf_dir)
-    return areas.select(
-        "area_id", "xmin", "ymin", "xmax", "ymax", F.size("edges").alias("n_edges")
-    )
-
-
 @register(
     QUERIES,
     """WITH places AS (SELECT l_extendedprice / 500 AS longitude FROM lineitem)

@@ -79,7 +79,7 @@ def rsh_complete_raw_rows(spark, sf_dir):
     QUERIES,
     f"""WITH {CODED_ORDERS}, agg AS (
       SELECT code, year, count(*) AS n FROM coded WHERE code IS NOT NULL GROUP BY code, year),
-    keys AS (SELECT code FROM agg UNION SELECT 'S' || substr(s_name, 17, 2) FROM supplier
+    keys AS (SELECT code FROM agg UNION SELECT s_name FROM supplier
       UNION SELECT code FROM supplier JOIN codes ON s_nationkey = n_nationkey),
     grid AS (SELECT k.code, y.year FROM keys k
       CROSS JOIN (SELECT CAST(unnest(range(1994, 2003)) AS INT) AS year) y)
@@ -87,12 +87,12 @@ def rsh_complete_raw_rows(spark, sf_dir):
     FROM grid g LEFT JOIN agg a ON g.code IS NOT DISTINCT FROM a.code AND g.year = a.year""",
 )
 def rsh_complete_foreign(spark, sf_dir):
-    """Keys of the panel and of another table: supplier codes, and two digits of their names."""
+    """Keys of the panel and of another table: the codes of suppliers, and their names."""
     panel = summarise_orders(spark, sf_dir, ["code", "year"], {"n": op.measure_rows()})
     panel = panel.where(F.col("code").isNotNull())
     suppliers = table(spark, sf_dir, "supplier")
     coded = op.recode(suppliers, "s_nationkey", country_codes(spark, sf_dir), "code")
-    named = suppliers.select(F.concat(F.lit("S"), F.substring("s_name", 17, 2)).alias("code"))
+    named = suppliers.select(F.col("s_name").alias("code"))
     return op.complete(
         panel, ["code"], "year", 1994, 2002, {"n": 0},
         keys=op.bind_rows(coded.select("code"), named), summarised=True,

@@ -153,6 +153,24 @@ def src_geojson_edges(spark, sf_dir):
     return shapes.select("supplier", "name", F.inline("edges"))
 
 
+@register(
+    QUERIES,
+    """WITH base AS (SELECT s_suppkey AS supplier, s_nationkey * CAST(4 AS DOUBLE) AS x,
+        s_acctbal / 100 AS y, s_nationkey >= 12 AS two FROM supplier)
+    SELECT supplier, x AS xmin, y AS ymin, CASE WHEN two THEN x + 13 ELSE x + 3 END AS xmax,
+      CASE WHEN two THEN y + 12 ELSE y + 2 END AS ymax, CASE WHEN two THEN 2 ELSE 1 END AS n_parts
+    FROM base""",
+)
+def src_geojson_boxes(spark, sf_dir):
+    """Box and number of parts of parsed features."""
+    shapes = src.parse_features(
+        _supplier_shapes(spark, sf_dir), "feature", {"supplier": "bigint"}
+    )
+    return shapes.select(
+        "supplier", "xmin", "ymin", "xmax", "ymax", F.size("parts").alias("n_parts")
+    )
+
+
 @register(
     QUERIES,
     """WITH parts AS (SELECT page_id, regexp_extract(url, '([^/]+)/?$', 1) AS segment FROM pages)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from panelkit import operators as op
 from panelkit import plans
 
-from .common import CODED_ORDERS, CODES, Query, country_codes, money, register, table, year_of
+from .common import CODED_ORDERS, CODES, Query, country_codes, money, orders_by_nation, register
+from .common import summarise_orders, table, year_of
 from .geo import AREAS, INCIDENTS, covered, line_incidents, nation_areas
 from .windows import RATES, rounded, yearly_rates
 
@@ -92,21 +93,17 @@ def cmp_funding_panel(spark, sf_dir):
 )
 def cmp_conflict_panel(spark, sf_dir):
     """Orders as incidents of the customer's nation, on the keys of two tables."""
-    year = year_of("o_orderdate")
-    known = (F.col("o_orderstatus") != "P") | (year != 1998)
-    incidents = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("country_id"),
-        year.alias("year"),
-        F.when(known, money("o_totalprice")).alias("best"),
+    known = (F.col("o_orderstatus") != "P") | (year_of("o_orderdate") != 1998)
+    incidents = orders_by_nation(
+        spark, sf_dir, {"best": F.when(known, money("o_totalprice"))}
     )
     panel = plans.conflict_panel(
-        incidents,
+        incidents.withColumnRenamed("nation", "country_id"),
         country_codes(spark, sf_dir),
         {7: "OVR"},
         1996,
         2003,
         keys=table(spark, sf_dir, "supplier").select(F.col("s_name").alias("iso3")),
-        codes=table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
     )
     return panel.withColumn("fatalities", F.col("fatalities").cast("double"))
 
@@ -458,24 +455,17 @@ def cmp_area_linkage(spark, sf_dir):
 def cmp_percent_in_need(spark, sf_dir):
     """Need and population per country; one country without a population has no percentage."""
     codes = country_codes(spark, sf_dir)
-
-    def coded(partial):
-        return op.recode(partial, "nation", codes, "code")
-
     need = op.summarise_through(
         table(spark, sf_dir, "customer").select(
             F.col("c_nationkey").alias("nation"), money("c_acctbal").alias("amount")
         ),
-        ["nation"], coded, ["code"], {"pin": op.lenient_sum("amount")},
-    )
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("customer"), money("o_totalprice").alias("price")
+        ["nation"],
+        lambda partial: op.recode(partial, "nation", codes, "code"),
+        ["code"],
+        {"pin": op.lenient_sum("amount")},
     )
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    population = op.summarise_through(
-        orders, ["customer"],
-        lambda partial: coded(op.recode(partial, "customer", customers, "nation")),
-        ["code"], {"population": op.lenient_sum("price")},
+    population = summarise_orders(
+        spark, sf_dir, ["code"], {"population": op.lenient_sum("price")}
     ).where(F.col("code") != "N05")
     out = plans.percent_in_need(need, population, "code")
     out = out.withColumns({c: F.col(c).cast("double") for c in ("pin", "population")})

@@ -28,19 +28,27 @@ def recode(
     dictionary: DataFrame,
     into: str,
     overrides: Mapping[object, object] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Add ``into``: the dictionary's value for ``source``, after fixed overrides.
 
     ``dictionary`` has the key in its first column and the value in its second. A key that is
     missing, unknown or ambiguous gives NULL, so the row count never changes. Whether the
     dictionary is broadcast is left to Spark, which knows its size.
+
+    Set ``unique`` if the keys are known to be unique, as in a table of customers. A large
+    dictionary is then joined as it is stored, which lets adaptive execution split the
+    partition of a very frequent key; grouping it first would prevent that.
     """
     key, value = dictionary.columns[:2]
-    entries = (
-        dictionary.groupBy(F.col(key).alias("__key"))
-        .agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
-        .select("__key", F.when(F.col("__low") == F.col("__high"), F.col("__low")).alias("__code"))
-    )
+    if unique:
+        entries = dictionary.select(F.col(key).alias("__key"), F.col(value).alias("__code"))
+    else:
+        low_high = dictionary.groupBy(F.col(key).alias("__key")).agg(
+            F.min(value).alias("__low"), F.max(value).alias("__high")
+        )
+        code = F.when(F.col("__low") == F.col("__high"), F.col("__low"))
+        entries = low_high.select("__key", code.alias("__code"))
     found: Column = entries["__code"]
     for code, fixed in (overrides or {}).items():
         found = if_else(df[source] == F.lit(code), F.lit(fixed), found)

@@ -24,6 +24,7 @@ from .aggregate import Measures, summarise
 from .staging import BROADCAST_BYTES, fits_in_broadcast, settle
 
 EDGE_BYTES, TILE_BYTES = 56, 96
+TILE_TASKS = 200
 CELL_EDGES = (
     "array<struct<e: struct<x1: double, y1: double, x2: double, y2: double>, "
     "left: bigint, right: bigint, low: bigint, high: bigint>>"
@@ -144,7 +145,7 @@ def tile_polygons(
         )
 
     # a fixed number of partitions, as few bytes of edges can make many tiles
-    tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(TILE_TASKS, int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     tile_x, tile_y = F.col("tile_x"), F.col("tile_y")
     in_row = F.filter("__cells", lambda e: (e.low <= tile_y) & (tile_y <= e.high))
     entering = F.filter("__cells", lambda e: (e.left <= tile_x) & (tile_x <= e.right))

@@ -27,26 +27,19 @@ def conflict_panel(
     stop: int = 2022,
     keys: DataFrame | None = None,
     code: str = "country_id",
-    codes: DataFrame | None = None,
 ) -> DataFrame:
     """(iso3, year, events, fatalities) of incidents (``code``, year, best), gaps filled with 0.
 
     ``dictionary`` maps the code to iso3, after ``overrides``; incidents without a country are
-    left out. ``keys`` (iso3) adds the countries of another table. ``codes`` (``code``, new
-    code) is an optional first step for incidents that carry the key of something else.
+    left out. ``keys`` (iso3) adds the countries of another table.
 
     Incidents are counted by their raw code first. What meets the dictionary is one row per
     code and year, so neither its size nor a very frequent code matters.
     """
 
     def relabel(partial: DataFrame) -> DataFrame:
-        source = code
-        if codes is not None:
-            partial = recode(partial, code, codes, "__country")
-            source = "__country"
-        return recode(partial, source, dictionary, "iso3", overrides).where(
-            is_present(F.col("iso3"))
-        )
+        coded = recode(partial, code, dictionary, "iso3", overrides)
+        return coded.where(is_present(F.col("iso3")))
 
     panel = summarise_through(incidents, [code, "year"], relabel, ["iso3", "year"], MEASURES)
     return complete(
