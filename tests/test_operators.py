@@ -205,3 +205,33 @@ def test_size_check(spark):
 def test_settle(spark, rows):
     df = spark.range(3).withColumn("x", F.col("id") * 2)
     assert rows(op.settle(df)) == rows(df)
+
+
+def test_a_very_frequent_key_is_split(spark, rows):
+    """A third of all rows have one key; the join splits that partition and loses nothing."""
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
+    source = spark.range(60000, numPartitions=20).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 4001).alias("code"),
+        F.hash("id").alias("x"),
+    )
+    names = spark.range(4001).select("id", F.concat(F.lit("n"), F.col("id")).alias("name"))
+    for key, value in options.items():
+        spark.conf.set(key, value)
+    try:
+        coded = op.recode(source, "code", names, "name", unique=True)
+        counts = coded.groupBy("name").agg(
+            F.count("x").alias("n"), F.max("code").alias("code"), F.max("x").alias("x")
+        )
+        found = {r["name"]: (r["n"], r["code"]) for r in counts.collect()}
+        plan = plan_of(counts)
+    finally:
+        for key in options:
+            spark.conf.unset(key)
+    assert "skew=true" in plan
+    assert sum(n for n, _ in found.values()) == 60000 and found["n7"][0] > 20000
+    assert all(name == f"n{code}" for name, (_, code) in found.items())
