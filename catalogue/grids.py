@@ -36,7 +36,8 @@ def rsh_complete_grid(spark, sf_dir):
 
 @register(
     QUERIES,
-    """WITH agg AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL),
+    """WITH agg AS (
+      SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL),
     grid AS (SELECT k.user_id, d.day FROM (SELECT DISTINCT user_id FROM agg) k
       CROSS JOIN (SELECT CAST(unnest(range(DATE '2023-12-30', DATE '2024-02-02',
         INTERVAL 1 DAY)) AS DATE) AS day) d)

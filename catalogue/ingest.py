@@ -8,7 +8,7 @@ from panelkit import functions as pf
 from panelkit import operators as op
 from panelkit import sources as src
 
-from .common import Query, money, register, table
+from .common import CODED_ORDERS, Query, money, register, summarise_orders, table
 
 QUERIES: dict[str, Query] = {}
 
@@ -65,7 +65,9 @@ def src_drift_union_distinct(spark, sf_dir):
     """Four tables whose typeName is text, a number, absent, and a copy of the first."""
     customer = table(spark, sf_dir, "customer")
     supplier = table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "country")
-    text = customer.select(F.col("c_nationkey").alias("country"), F.col("c_mktsegment").alias("typeName"))
+    text = customer.select(
+        F.col("c_nationkey").alias("country"), F.col("c_mktsegment").alias("typeName")
+    )
     number = supplier.select(F.col("country").alias("typeName"), "country")
     absent = supplier.select("country")
     tables = op.harmonise([text, number, None, absent, text], {"typeName": "string"})
@@ -209,3 +211,66 @@ def src_select_files(spark, sf_dir):
     """Column pruning and a pushed filter on the table read."""
     orders = table(spark, sf_dir, "orders").where(pf.is_in(F.col("o_orderstatus"), ["F", "O"]))
     return orders.select("o_orderkey", money("o_totalprice").cast("double").alias("price"))
+
+
+@register(
+    QUERIES,
+    """SELECT c_nationkey AS "countryCode", CAST(c_acctbal AS DOUBLE) AS funding,
+      c_mktsegment AS "typeName" FROM customer
+    UNION ALL SELECT s_nationkey, s_acctbal, NULL FROM supplier
+    UNION ALL SELECT s_nationkey, NULL, CAST(s_suppkey AS VARCHAR) FROM supplier""",
+)
+def src_drifting_files(spark, sf_dir):
+    """CSV files with three different headers, and one that is not there, as one table."""
+    customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    country = F.col("s_nationkey").alias("countryCode")
+    tables = [
+        customer.select(
+            F.col("c_nationkey").alias("countryCode"),
+            F.col("c_mktsegment").alias("typeName"),
+            F.col("c_acctbal").alias("funding"),
+        ),
+        supplier.select(F.col("s_acctbal").alias("funding"), country),
+        supplier.select(country, F.lit("none").alias("funding"),
+                        F.col("s_suppkey").alias("typeName")),
+    ]
+    paths = [op.scratch_path(spark) for _ in tables]
+    for df, path in zip(tables, paths):
+        src.write_panel_csv(df, path)
+    casts = {"countryCode": "int", "funding": "double"}
+    return src.read_drifting_csv(spark, [*paths, op.scratch_path(spark)], casts)
+
+
+@register(
+    QUERIES,
+    f"""WITH {CODED_ORDERS}
+    SELECT code, year, count(*) AS n, sum(price)::DOUBLE AS total, count(*) > 500 AS many
+    FROM coded GROUP BY code, year""",
+)
+def snk_csv_round_trip(spark, sf_dir):
+    """A sorted panel with missing codes written as CSV and read back."""
+    measures = {"n": op.measure_rows(), "total": op.lenient_sum("price")}
+    panel = summarise_orders(spark, sf_dir, ["code", "year"], measures).withColumns(
+        {"total": F.col("total").cast("double"), "many": F.col("n") > 500}
+    )
+    path = op.scratch_path(spark)
+    src.write_panel_csv(panel, path, order=["code", "year"])
+    return src.read_table(spark, path, panel.schema)
+
+
+@register(
+    QUERIES,
+    """SELECT s_suppkey AS supplier, s_name AS name, CASE WHEN s_nationkey >= 12 THEN 6 ELSE 3 END
+      AS n_edges, CASE WHEN s_nationkey >= 12 THEN 5 ELSE 3 END AS brackets FROM supplier""",
+)
+def snk_polygons_round_trip(spark, sf_dir):
+    """Polygons written with their text form and read back."""
+    shapes = src.parse_features(
+        _supplier_shapes(spark, sf_dir), "feature", {"supplier": "bigint", "name": "string"}
+    )
+    path = op.scratch_path(spark)
+    src.write_polygons(shapes, path)
+    opened = F.length("wkt") - F.length(F.replace("wkt", F.lit("("), F.lit("")))
+    return spark.read.parquet(path).select(
+        "supplier", "name", F.size("edges").alias("n_edges"), opened.alias("brackets")
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panelkit import functions as pf
 from panelkit import operators as op
 from panelkit import plans
 
@@ -115,20 +116,26 @@ def line_conflict(spark, sf_dir, keys=None):
     )
 
 
-LINE_CONFLICT = f"""{CODES}, {INCIDENTS}, incident_sums AS (
+OWN_KEYS = "SELECT DISTINCT iso3 FROM incident_sums WHERE iso3 IS NOT NULL"
+
+
+def line_conflict_sql(keys: str) -> str:
+    """SQL of the same; it follows ``codes`` in a WITH list. ``keys`` selects the entities."""
+    return f"""{INCIDENTS}, incident_sums AS (
     SELECT CASE WHEN country_id = 2 THEN 'YEM' ELSE code END AS iso3, year, count(*) AS events,
       CASE WHEN count(best) = count(*) THEN sum(best) END AS fatalities
     FROM incidents LEFT JOIN codes ON country_id = n_nationkey GROUP BY 1, 2),
   conflict AS (
     SELECT coalesce(g.iso3, s.iso3) AS iso3, coalesce(g.year, s.year) AS year,
       coalesce(events, 0) AS events, coalesce(fatalities, 0) AS fatalities
-    FROM (SELECT iso3, y.year FROM ({{keys}}) k CROSS JOIN
+    FROM (SELECT iso3, y.year FROM ({keys}) k CROSS JOIN
       (SELECT CAST(unnest(range(1994, 2004)) AS INT) AS year) y) g
     FULL JOIN (SELECT * FROM incident_sums WHERE iso3 IS NOT NULL) s
       ON g.iso3 IS NOT DISTINCT FROM s.iso3 AND g.year = s.year)"""
-OWN_KEYS = "SELECT DISTINCT iso3 FROM incident_sums WHERE iso3 IS NOT NULL"
 
-_CARVE = f"""{AREAS}, {LINE_CONFLICT.format(keys=OWN_KEYS).replace(CODES + ",", "")},
+
+def _carve_sql(gap_entity: str) -> str:
+    return f"""WITH {AREAS}, {line_conflict_sql(OWN_KEYS)},
   parent_points AS (SELECT * FROM incidents WHERE country_id = 6),
   hits AS ({covered("parent_points", "edges", "area_id")}),
   inside AS (SELECT * FROM parent_points p WHERE EXISTS (
@@ -136,7 +143,7 @@ _CARVE = f"""{AREAS}, {LINE_CONFLICT.format(keys=OWN_KEYS).replace(CODES + ",",
   child_sums AS (SELECT year, count(*) AS events,
       CASE WHEN count(best) = count(*) THEN sum(best) END AS fatalities
     FROM inside GROUP BY year),
-  child AS (SELECT CASE WHEN {{keep}} OR s.year IS NOT NULL THEN 'N99' END AS iso3,
+  child AS (SELECT CASE WHEN s.year IS NOT NULL THEN 'N99' ELSE {gap_entity} END AS iso3,
       coalesce(g.year, s.year) AS year,
       coalesce(events, 0) AS events, coalesce(fatalities, 0) AS fatalities
     FROM (SELECT CAST(unnest(range(1994, 2004)) AS INT) AS year) g
@@ -168,13 +175,13 @@ def _carve(spark, sf_dir, strict_gaps):
     )
 
 
-@register(QUERIES, "WITH " + _CARVE.format(keep="true"))
+@register(QUERIES, _carve_sql("'N99'"))
 def cmp_carve_out(spark, sf_dir):
     """The incidents of country 6 inside any nation area move to a new country."""
     return _carve(spark, sf_dir, False)
 
 
-@register(QUERIES, "WITH " + _CARVE.format(keep="false"))
+@register(QUERIES, _carve_sql("NULL"))
 def cmp_carve_out_strict_gaps(spark, sf_dir):
     """The same, with gap years that have no country."""
     return _carve(spark, sf_dir, True)
@@ -299,7 +306,7 @@ def common_panel(spark, sf_dir):
 
 
 _BOTH_KEYS = f"{OWN_KEYS} UNION SELECT iso3 FROM funding"
-COMMON = f"""{FUNDING}, {LINE_CONFLICT.format(keys=_BOTH_KEYS)}, {SEVERITY}, {PLANS},
+COMMON = f"""{CODES}, {FUNDING}, {line_conflict_sql(_BOTH_KEYS)}, {SEVERITY}, {PLANS},
   common AS (SELECT f.iso3, f.year, requirements, funding, conflict_crisis, other_crisis,
       complex_crisis, inform_class, inform_severity, inform_pin, events,
       fatalities::DOUBLE AS fatalities, coalesce(hrp, false) AS hrp, coalesce(rrp, false) AS rrp,
@@ -447,7 +454,7 @@ def cmp_area_linkage(spark, sf_dir):
       SELECT code, coalesce(sum(CAST(c_acctbal AS DECIMAL(18,2))), 0) AS pin
       FROM customer LEFT JOIN codes ON c_nationkey = n_nationkey GROUP BY code),
     people AS (SELECT code, sum(price) AS population FROM coded
-      WHERE code <> 'N05' GROUP BY code)
+      WHERE code IS DISTINCT FROM 'N05' GROUP BY code)
     SELECT n.code, pin::DOUBLE AS pin, population::DOUBLE AS population,
       round(100 * (pin::DOUBLE / population::DOUBLE), 9) AS pin_pct
     FROM need n LEFT JOIN people p ON n.code IS NOT DISTINCT FROM p.code""",
@@ -466,7 +473,7 @@ def cmp_percent_in_need(spark, sf_dir):
     )
     population = summarise_orders(
         spark, sf_dir, ["code"], {"population": op.lenient_sum("price")}
-    ).where(F.col("code") != "N05")
+    ).where(pf.not_in(F.col("code"), ["N05"]))
     out = plans.percent_in_need(need, population, "code")
     out = out.withColumns({c: F.col(c).cast("double") for c in ("pin", "population")})
     return rounded(out, 9, "pin_pct")

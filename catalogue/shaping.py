@@ -282,7 +282,8 @@ def agg_strict_lenient_sum(spark, sf_dir):
         CASE WHEN event_type <> 'view' THEN value > 40 END AS high,
         CASE WHEN event_type <> 'signup' THEN event_type = 'error' END AS failed FROM events)
     SELECT user_id, day,
-      CASE WHEN bool_or(high) THEN true WHEN count(high) < count(*) THEN NULL ELSE false END AS high,
+      CASE WHEN bool_or(high) THEN true WHEN count(high) < count(*) THEN NULL
+           ELSE false END AS high,
       CASE WHEN bool_or(failed) THEN true WHEN count(failed) < count(*) THEN NULL
            ELSE false END AS failed FROM f GROUP BY ALL""",
 )

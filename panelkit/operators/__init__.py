@@ -17,7 +17,7 @@ from .spatial import (
     count_in_polygons, covered_by, keep_inside, match_points, point_columns, point_problems,
     spatial_left_join, tile_polygons,
 )
-from .staging import fits_in_broadcast, settle
+from .staging import fits_in_broadcast, scratch_path, settle
 
 __all__ = [
     "Measure", "add_in_stages", "add_share", "add_stack", "apply_to", "arrange", "bind_rows",
@@ -27,6 +27,6 @@ __all__ = [
     "group_constant", "guess_types", "harmonise", "keep_inside", "left_join",
     "lenient_sum", "lookup_table", "match_points", "measure_present", "measure_rows",
     "point_columns", "point_problems", "price_index", "recode", "recode_names", "replace_missing",
-    "require_unique", "retype", "settle", "spatial_left_join", "summarise",
+    "require_unique", "retype", "scratch_path", "settle", "spatial_left_join", "summarise",
     "summarise_through", "tile_polygons", "transmute",
 ]

@@ -79,16 +79,16 @@ def _through_window(df, by, over, kind, start, stop, keys) -> DataFrame:
     beyond = F.when(F.col("__last"), _span(F.greatest(low, _step(here, 1, kind)), high, kind))
     nothing = F.array().cast(T.ArrayType(kind))
     gaps = F.concat(F.coalesce(ahead, nothing), F.coalesce(beyond, nothing))
-    # an element without a gap year stands for the row itself
-    own = F.struct(F.lit(None).cast(kind).alias("at"), F.lit(False).alias("new"))
-    added = F.transform(gaps, lambda v: F.struct(v.alias("at"), F.lit(True).alias("new")))
-    slots = F.when(F.col("__own"), F.concat(F.array(own), added)).otherwise(added)
+    # NULL stands for the row itself, the other elements are new rows
+    own = F.array(F.lit(None).cast(kind))
+    slots = F.when(F.col("__own"), F.concat(own, gaps)).otherwise(gaps)
+    new = F.col("__at").isNotNull()
     payload = [c for c in df.columns if c not in by and c != over]
-    return rows.withColumn("__slot", F.explode(slots)).select(
+    return rows.withColumn("__at", F.explode(slots)).select(
         *by,
-        F.when(F.col("__slot.new"), F.col("__slot.at")).otherwise(here).alias(over),
-        *[F.when(~F.col("__slot.new"), F.col(c)).alias(c) for c in payload],
-        F.col("__slot.new").alias("__new"),
+        F.coalesce(F.col("__at"), here).alias(over),
+        *[F.when(~new, F.col(c)).alias(c) for c in payload],
+        new.alias("__new"),
     )
 
 

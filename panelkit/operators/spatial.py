@@ -67,9 +67,9 @@ def covered_by(
 ) -> Column:
     """Is the point inside or on the boundary? Even-odd over all edges, so holes just work.
 
-    ``already`` is the number of crossings known beforehand, by default 0. The sign of the cross product tells on which side of an edge the point lies; 0 within the
-    edge's box is on the edge. There is no division. With a tolerance, a point that close to
-    an edge counts as on it.
+    ``already`` is the number of crossings known beforehand, by default 0. The sign of the cross
+    product tells on which side of an edge the point lies; 0 within the edge's box is on the
+    edge. There is no division. With a tolerance, a point that close to an edge counts as on it.
     """
 
     def step(state: Column, e: Column) -> Column:

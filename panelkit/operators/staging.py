@@ -31,12 +31,13 @@ def settle(df: DataFrame) -> DataFrame:
     when a join is planned.
     """
     spark = df.sparkSession
-    path = f"{_shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def scratch_path(spark: SparkSession) -> str:
+    """A new path below the checkpoint folder of the session (local sessions may lack one)."""
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
@@ -44,4 +45,4 @@ def _shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="panelkit-"))
         folder = context.getCheckpointDir()
-    return folder
+    return f"{folder}/panelkit-{uuid.uuid4().hex}"

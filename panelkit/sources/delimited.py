@@ -67,8 +67,8 @@ def read_drifting_csv(
 
     Spark applies one schema by position to all paths of a read, so files are first grouped by
     their header (only that line is read; the search limit bounds the number of files), each
-    layout is read once as text, and the layouts are stacked by name. Absent files are skipped. ``casts`` turns text into types; what does
-    not fit is NULL.
+    layout is read once as text, and the layouts are stacked by name. Absent files are skipped.
+    ``casts`` turns text into types; what does not fit is NULL.
     """
     header_of = possibly(lambda p: spark.read.option("header", True).csv(p).columns)
     layouts: dict[tuple[str, ...], list[str]] = {}
