@@ -226,21 +226,34 @@ def _join_tiles(
 ) -> DataFrame:
     """Join points to the tiles of their cell, then test exactly.
 
-    Tiles of a measured, small size are broadcast: the points are then not shuffled at all, and
+    One small job over the polygons measures the tiles and their extent. Tiles of a measured, small size are broadcast: the points are then not shuffled at all, and
     a crowded cell is no problem. Beyond that size both sides are shuffled on the cell and a
     salt: the points of a crowded cell are dealt out to as many pieces as it has shares, each
     with its own copy of that cell's tiles; all other cells stay whole.
     """
     names = points.columns
-    points = points.withColumns(
-        {"__cell_x": _cell(F.col(x), cell), "__cell_y": _cell(F.col(y), cell)}
-    )
-    on = (F.col("__cell_x") == F.col("tile_x")) & (F.col("__cell_y") == F.col("tile_y"))
+    tile_bytes = F.size("tile_edges") * EDGE_BYTES + F.size("tile_turns") * 8 + TILE_BYTES
+    measured = tiles.agg(
+        F.sum(tile_bytes.cast("bigint")).alias("size"),
+        F.min("tile_x").alias("west"),
+        F.max("tile_x").alias("east"),
+        F.min("tile_y").alias("south"),
+        F.max("tile_y").alias("north"),
+    ).first()
     px, py = F.col(x), F.col(y)
+    # the box of all tiles, a cell wider on each side; on a stored column it reaches the reader
+    if measured["size"] is None:
+        points = points.where(F.lit(False))
+    else:
+        points = points.where(
+            px.between((measured["west"] - 1) * cell, (measured["east"] + 2) * cell)
+            & py.between((measured["south"] - 1) * cell, (measured["north"] + 2) * cell)
+        )
+    points = points.withColumns({"__cell_x": _cell(px, cell), "__cell_y": _cell(py, cell)})
+    on = (F.col("__cell_x") == F.col("tile_x")) & (F.col("__cell_y") == F.col("tile_y"))
     already = F.col("tile_base") + F.size(F.filter("tile_turns", lambda height: height <= py))
     exact = F.col("tile_inside") | covered_by(F.col("tile_edges"), px, py, tolerance, already)
-    tile_bytes = F.size("tile_edges") * EDGE_BYTES + F.size("tile_turns") * 8 + TILE_BYTES
-    if fits_in_broadcast(tiles, tile_bytes, broadcast_bytes):
+    if (measured["size"] or 0) <= broadcast_bytes:
         tiles = F.broadcast(tiles)
     else:
         crowded = F.broadcast(_crowded_cells(points))

@@ -205,6 +205,27 @@ def test_no_nested_loop_and_points_are_not_shuffled(lattice, polygons):
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+def test_the_box_of_the_polygons_reaches_the_reader(lattice, polygons, rows, tmp_path):
+    points, expected = lattice
+    points.write.parquet(str(tmp_path / "points"))
+    stored = points.sparkSession.read.parquet(str(tmp_path / "points"))
+    joined = op.match_points(op.point_columns(stored, bad="drop"), polygons, "name")
+    plan = joined._sc._jvm.PythonSQLUtils.explainString(joined._jdf.queryExecution(), "formatted")
+    assert "GreaterThanOrEqual(longitude" in plan and "LessThanOrEqual(latitude" in plan
+    assert joined.count() == len(expected)
+
+
+def test_points_that_are_not_numbers_match_nothing(spark, polygons):
+    nan, inf = float("nan"), float("inf")
+    odd = spark.createDataFrame(
+        [(nan, 1.0), (1.0, nan), (inf, 1.0), (None, 1.0), (nan, nan)],
+        "longitude double, latitude double",
+    )
+    for cell in (0.5, 1.0, 30.0):
+        assert op.match_points(odd, polygons, "name", cell=cell).count() == 0
+    assert op.match_points(odd, polygons.where("name = 'none'"), "name").count() == 0
+
+
 def test_bad_coordinates(spark):
     df = spark.createDataFrame(
         [(1.0, 1.0), (None, 2.0), (200.0, 3.0)], "longitude double, latitude double"
