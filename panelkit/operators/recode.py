@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.missing import if_else
-from ..functions.text import name_key
+from ..functions.text import matches_any, name_key
 
 
 def lookup_table(
@@ -61,7 +61,9 @@ def recode(
 def code_by_pattern(name: Column, patterns: Sequence[tuple[str, str]]) -> Column:
     """Code whose pattern occurs in the name; NULL if none does or several codes do."""
     hits = F.array_distinct(
-        F.array_compact(F.array(*[F.when(name.rlike(p), F.lit(code)) for p, code in patterns]))
+        F.array_compact(
+            F.array(*[F.when(matches_any(name, [p]), F.lit(code)) for p, code in patterns])
+        )
     )
     return F.when(F.size(hits) == 1, hits[0])
 
