@@ -226,12 +226,13 @@ def _join_tiles(
 ) -> DataFrame:
     """Join points to the tiles of their cell, then test exactly.
 
-    One small job over the polygons measures the tiles and their extent. Tiles of a measured, small size are broadcast: the points are then not shuffled at all, and
+    The tiles are written once, then their size and extent are measured. Tiles of a measured, small size are broadcast: the points are then not shuffled at all, and
     a crowded cell is no problem. Beyond that size both sides are shuffled on the cell and a
     salt: the points of a crowded cell are dealt out to as many pieces as it has shares, each
     with its own copy of that cell's tiles; all other cells stay whole.
     """
     names = points.columns
+    tiles = settle(tiles)
     tile_bytes = F.size("tile_edges") * EDGE_BYTES + F.size("tile_turns") * 8 + TILE_BYTES
     measured = tiles.agg(
         F.sum(tile_bytes.cast("bigint")).alias("size"),
@@ -302,9 +303,7 @@ def match_points(
     """Each point with the id of each polygon that covers it; points outside all are left out.
 
     ``cell`` is the grid size in the unit of the coordinates. It changes the speed, not the
-    answer: small cells leave more points without a test and make more tiles. Polygons that are
-    costly to read or parse are best settled or written as Parquet first, as they are read once
-    to measure the tiles and once to join them.
+    answer: small cells leave more points without a test and make more tiles.
     """
     if id_col in points.columns:
         raise ValueError(f"points have a column {id_col!r} too; rename one of them")
