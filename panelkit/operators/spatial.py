@@ -226,10 +226,11 @@ def _join_tiles(
 ) -> DataFrame:
     """Join points to the tiles of their cell, then test exactly.
 
-    The tiles are written once, then their size and extent are measured. Tiles of a measured, small size are broadcast: the points are then not shuffled at all, and
-    a crowded cell is no problem. Beyond that size both sides are shuffled on the cell and a
-    salt: the points of a crowded cell are dealt out to as many pieces as it has shares, each
-    with its own copy of that cell's tiles; all other cells stay whole.
+    The tiles are written once, then their size and extent are measured. Small tiles are
+    broadcast: the points are then not shuffled at all, and a crowded cell is no problem. Beyond
+    that size both sides are shuffled on the cell and a salt: the points of a crowded cell are
+    dealt out to as many pieces as it has shares, each with its own copy of that cell's tiles;
+    all other cells stay whole.
     """
     names = points.columns
     tiles = settle(tiles)

@@ -50,7 +50,8 @@ def test_foreign_keys(spark, rows, summarised):
 
 @pytest.mark.parametrize("summarised", [True, False])
 def test_only_the_range_is_a_key(spark, rows, summarised):
-    df = spark.createDataFrame([("PSE", 1990, 5.0), ("PSE", 1980, 1.0)], "iso3 string, year int, n double")
+    data = [("PSE", 1990, 5.0), ("PSE", 1980, 1.0)]
+    df = spark.createDataFrame(data, "iso3 string, year int, n double")
     gaps = complete(df, [], "year", 1989, 1991, {"n": 0}, summarised=summarised)
     assert rows(gaps, "year", "iso3", "n") == [
         (1980, "PSE", 1.0), (1989, None, 0.0), (1990, "PSE", 5.0), (1991, None, 0.0),
@@ -96,7 +97,10 @@ def test_random_tables_agree_and_completing_twice_changes_nothing(spark, rows):
 
 
 def test_repeated_rows_and_missing_years(spark, rows):
-    data = [("A", 2001, 1.0, None), ("A", 2001, 2.0, None), ("A", None, 3.0, None), ("D", None, 1.0, None)]
+    data = [
+        ("A", 2001, 1.0, None), ("A", 2001, 2.0, None), ("A", None, 3.0, None),
+        ("D", None, 1.0, None),
+    ]
     df = spark.createDataFrame(data, SCHEMA)
     expected = brute_force(data, 2000, 2002)
     for summarised in (True, False):

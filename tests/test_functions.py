@@ -79,7 +79,8 @@ def test_labels(spark):
 
 
 def test_text(spark):
-    df = spark.createDataFrame([("Floods, Conflict",), ("Cyclone",), ("calm",), (None,)], "t string")
+    texts = ["Floods, Conflict", "Cyclone", "calm", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
     out = df.coalesce(1).select(
         pf.matches_any(F.col("t"), ["Conflict", "Violence"]),
         pf.matches_any(F.col("t"), ["Fl..ds", "Cyclone"]),

@@ -62,7 +62,11 @@ def test_summarise_in_one_and_two_steps(spark, rows):
     df = spark.createDataFrame(
         [(1, 1.0), (2, None), (2, 3.0), (3, None), (None, 4.0)], "code int, x double"
     )
-    label = lambda d: d.withColumn("g", F.when(F.col("code") <= 2, "low").otherwise(F.col("code").cast("string")))
+
+    def label(d):
+        group = F.when(F.col("code") <= 2, "low").otherwise(F.col("code").cast("string"))
+        return d.withColumn("g", group)
+
     once = op.summarise(label(df), ["g"], MEASURES)
     twice = op.summarise_through(df, ["code"], label, ["g"], MEASURES)
     expected = [("3", 1, 0, None, 0.0), ("low", 3, 2, None, 4.0), (None, 1, 1, 4.0, 4.0)]
@@ -111,14 +115,17 @@ def test_columns(spark):
 
 
 def test_arrange_puts_missing_last(spark):
-    df = spark.createDataFrame([("b", 1), (None, 0), ("B", 2), ("a", None), ("a", 1)], "k string, y int")
+    df = spark.createDataFrame(
+        [("b", 1), (None, 0), ("B", 2), ("a", None), ("a", 1)], "k string, y int"
+    )
     assert [tuple(r) for r in op.arrange(df, "k", "y").collect()] == [
         ("B", 2), ("a", 1), ("a", None), ("b", 1), (None, 0),
     ]
 
 
 def test_drop_first_rows(spark, rows):
-    df = spark.createDataFrame([("f", i) for i in range(5)] + [("g", 0)], "file string, line int")
+    data = [("f", i) for i in range(5)] + [("g", 0)]
+    df = spark.createDataFrame(data, "file string, line int")
     out = op.drop_first_rows(df, 2, ["file"], ["line"])
     assert rows(out) == [("f", 2), ("f", 3), ("f", 4)]
     assert "WindowGroupLimit" in plan_of(op.first_rows(df, 2, ["file"], ["line"]))
@@ -186,8 +193,10 @@ def test_deflate(spark):
     rates = spark.createDataFrame(
         [(2019, 1.0), (2020, 10.0), (2021, 5.0), (2015, 2.0), (2018, None)], "year int, rate double"
     )
-    df = spark.createDataFrame([(y, 100.0) for y in (2015, 2018, 2019, 2020, 2021, 2022)] + [(None, 1.0)], "year int, x double")
-    out = {r["year"]: r["real"] for r in op.deflate(df, "year", {"real": "x"}, rates, 2021).collect()}
+    years = (2015, 2018, 2019, 2020, 2021, 2022)
+    df = spark.createDataFrame([(y, 100.0) for y in years] + [(None, 1.0)], "year int, x double")
+    real = op.deflate(df, "year", {"real": "x"}, rates, 2021)
+    out = {r["year"]: r["real"] for r in real.collect()}
     assert out[2021] == pytest.approx(100) and out[2020] == pytest.approx(105)
     assert out[2019] == pytest.approx(115.5)
     # no rate in the year, a hole on the way, beyond the table, no year at all

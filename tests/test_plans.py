@@ -49,7 +49,8 @@ def panel(spark, incidents):
 
 def test_funding_panel(spark, rows):
     one = spark.createDataFrame(
-        [("AFG", 1999, 10.0, 1.0), ("AFG", 2001, None, 0.1), ("AFG", 2001, 5.0, 0.2), (None, 2000, 1.0, None)],
+        [("AFG", 1999, 10.0, 1.0), ("AFG", 2001, None, 0.1), ("AFG", 2001, 5.0, 0.2),
+         (None, 2000, 1.0, None)],
         "countryCode string, year int, requirements double, funding double",
     )
     two = one.where("year = 2001").withColumn("typeName", F.lit(3))
@@ -103,8 +104,9 @@ def test_carve_out_years_without_the_child(rows, spark, panel, incidents, square
 
 
 def severity_table(spark, rows_):
-    return plans.crisis_classes(spark.createDataFrame(
-        rows_, "`ISO3` string, `DRIVERS` string, `INFORM Severity Index` string, `People in need` string"))
+    texts = ("ISO3", "DRIVERS", "INFORM Severity Index", "People in need")
+    schema = ", ".join(f"`{name}` string" for name in texts)
+    return plans.crisis_classes(spark.createDataFrame(rows_, schema))
 
 
 def test_crisis_classes(spark, rows):
@@ -237,8 +239,12 @@ def test_areas_and_need(spark, rows, incidents, square):
     events = plans.events_by_area(square, incidents, keys, "id")
     assert rows(events) == [("west", "PS01", 3)]
     need = spark.createDataFrame(
-        [("PS01", 10.0), ("PS01", 15.0), ("PS02", 1.0), ("PS03", None)], "adm1_Pcode string, pin double")
-    people = spark.createDataFrame([("PS01", 100), ("PS02", 0)], "adm1_Pcode string, population int")
+        [("PS01", 10.0), ("PS01", 15.0), ("PS02", 1.0), ("PS03", None)],
+        "adm1_Pcode string, pin double",
+    )
+    people = spark.createDataFrame(
+        [("PS01", 100), ("PS02", 0)], "adm1_Pcode string, population int"
+    )
     share = plans.percent_in_need(need, people, "adm1_Pcode")
     assert rows(share) == [
         ("PS01", 25.0, 100, 25.0), ("PS02", 1.0, 0, None), ("PS03", 0.0, None, None),
