@@ -47,7 +47,7 @@ def _small_number(part: Column) -> Column:
 
 def _luhn(digits: Column) -> Column:
     def add(total: Column, place: Column) -> Column:
-        digit = F.substring(digits, (F.length(digits) - place).cast("int"), F.lit(1)).cast("int")
+        digit = F.substring(digits, F.length(digits) - 1 - place, F.lit(1)).cast("int")
         twice = F.when(place % 2 == 0, digit * 2).otherwise(digit)
         return total + F.when(twice > 9, twice - 9).otherwise(twice)
 

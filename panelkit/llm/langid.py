@@ -99,16 +99,17 @@ class LanguageModel:
 
     def __init__(self, x: np.ndarray, labels: list[str]) -> None:
         self.languages = sorted(set(labels))
+        self.families, self.family_weights, self.pairs = [], [], {}
+        if not labels:
+            return
         where = np.array([self.languages.index(label) for label in labels], int)
         centres = np.array([x[where == n].mean(0) for n in range(len(self.languages))])
         centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
-        self.families = language_families(centres) if len(labels) else []
+        self.families = language_families(centres)
         family_of = {n: f for f, members in enumerate(self.families) for n in members}
         family = np.array([family_of[n] for n in where.tolist()], int)
-        self.family_weights = [
-            linear_svm(x, family == f) for f in range(len(self.families))
-        ] if len(self.families) > 1 else []
-        self.pairs = {}
+        if len(self.families) > 1:
+            self.family_weights = [linear_svm(x, family == f) for f in range(len(self.families))]
         for members in self.families:
             for a, b in combinations(sorted(members), 2):
                 rows = (where == a) | (where == b)
