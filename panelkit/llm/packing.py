@@ -6,13 +6,15 @@ without either, at fixed steps (larger penalty). The best way to reach a place c
     best[j] = penalty[j] + WINDOW - at[j] + min over at[j] - at[i] <= WINDOW of best[i] + at[i]
 
 whose minimum slides with j and is kept in a monotone queue, so all cuts are found in one pass.
+The last window is costed by what is done with it: it may be split into powers of two.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -86,8 +88,16 @@ class WordEncoder:
         ]
 
 
-def cut_places(places: list[int], penalties: list[int], window: int) -> list[int]:
-    """The places (the first and the last included) that cost least; steps exceed no window."""
+def cut_places(
+    places: list[int],
+    penalties: list[int],
+    window: int,
+    rest: Callable[[int], int] | None = None,
+) -> list[int]:
+    """The places (the first and the last included) that cost least; steps exceed no window.
+
+    ``rest`` is the cost of the last step by its length; without it, it is padded like others.
+    """
     best, back = [0] * len(places), [0] * len(places)
     value = [0] * len(places)
     queue: deque[int] = deque()
@@ -102,7 +112,11 @@ def cut_places(places: list[int], penalties: list[int], window: int) -> list[int
         i = queue[0]
         best[j] = value[i] + window - at + penalties[j]
         back[j] = i
-    out, j = [places[-1]], len(places) - 1
+    j = len(places) - 1
+    if rest and j:
+        near = range(bisect_left(places, places[j] - window), j)
+        back[j] = min(near, key=lambda i: best[i] + rest(places[j] - places[i]))
+    out = [places[-1]]
     while j:
         j = back[j]
         out.append(places[j])
@@ -133,8 +147,15 @@ def candidates(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray) -> tuple
 def split_rest(length: int, window: int) -> list[int]:
     """Lengths for the last tokens: one padded window, or powers of two, which need no padding."""
     powers = [1 << b for b in range(length.bit_length() - 1, -1, -1) if length >> b & 1]
-    cheaper = (len(powers) - 1) * HARD_PENALTY < window - length
-    return powers if cheaper else [length]
+    return powers if _split_cost(length) < window - length else [length]
+
+
+def _split_cost(length: int) -> int:
+    return (length.bit_count() - 1) * HARD_PENALTY
+
+
+def _rest_cost(length: int) -> int:
+    return min(_split_cost(length), WINDOW - length)
 
 
 class Packer:
@@ -156,12 +177,14 @@ class Packer:
         ids = np.concatenate([d[1][d[2] :] for d in self.docs])
         sizes = np.array([len(d[1]) - d[2] for d in self.docs])
         doc_ends = np.cumsum(sizes)
-        cuts = cut_places(*candidates(ids, doc_ends, self.ends), WINDOW)
+        # tokens that stay for the next block cost nothing yet
+        rest = _rest_cost if last else lambda length: 0
+        cuts = cut_places(*candidates(ids, doc_ends, self.ends), WINDOW, rest)
         if not last:
             cuts = cuts[:-2] if len(cuts) > 3 else cuts
         elif len(cuts) > 1:
-            rest = split_rest(cuts[-1] - cuts[-2], WINDOW)
-            cuts = cuts[:-1] + (cuts[-2] + np.cumsum(rest)).tolist()
+            lengths = split_rest(cuts[-1] - cuts[-2], WINDOW)
+            cuts = cuts[:-1] + (cuts[-2] + np.cumsum(lengths)).tolist()
         cuts, end = np.array(cuts), cuts[-1]
         edges = np.union1d(cuts, doc_ends[doc_ends < end])
         starts, stops = edges[:-1], edges[1:]
