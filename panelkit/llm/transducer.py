@@ -22,7 +22,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.operators.staging import scratch_path
+from panelkit.operators.staging import scratch_path, settle
 
 from . import bpe
 from .common import documents, map_texts, text_slices, texts_of
@@ -179,8 +179,21 @@ def count_words(docs: DataFrame, path: str) -> DataFrame:
 
 
 def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str:
-    """Compile the ``words`` most frequent words and ship the file; returns its name."""
-    frequent = count_words(docs, path).orderBy(F.col("n").desc(), "word").limit(words)
+    """Compile the most frequent words, ``words`` at most, and ship the file; returns its name.
+
+    A histogram of the counts, of a few hundred steps, tells from which step on that many words
+    are left, so only they are sent to the driver.
+    """
+    step = F.floor(F.log2("n") * 8).cast("int")
+    counted = settle(count_words(docs, path).withColumn("step", step))
+    steps = counted.groupBy("step").agg(F.count("*").alias("held")).collect()
+    least, total = None, 0
+    for row in sorted(steps, key=lambda r: -r["step"]):
+        total += row["held"]
+        if total > words:
+            break
+        least = row["step"]
+    frequent = counted.where(F.col("step") >= least) if least is not None else counted.where("false")
     found = [bytes(r["word"]) for r in frequent.select("word").collect()]
     image = compile_lexicon(found, bpe.load(path).merge(found))
     return ship(docs.sparkSession, image, "lexicon")
