@@ -30,6 +30,10 @@ SHINGLE = 5
 COORDINATES, BAND = 120, 5
 SIMILARITY = (4, 5)
 """Pairs are linked from 4/5 on. A pair just there shares no band with a chance of 7e-5."""
+BLOCK = 128
+"""Members of a band that are compared with each other, or with as many others, at once."""
+COLUMNS = 8192
+"""Different shingles of two blocks that are counted at once."""
 BROADCAST_BYTES = 16 << 20
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -187,12 +191,8 @@ def _pairs(left: str, right: str) -> list:
     ]
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes whose shingle sets reach the similarity, compared exactly.
-
-    Only documents of nodes that occur in pairs are read again.
-    """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, found): the shingles of the wanted nodes; only their documents are read again."""
     chosen = settle(
         nodes.join(wanted, "node", "left_semi").select(
             F.col("doc_key").alias("__doc_key"), F.col("text_hash").alias("__text_hash")
@@ -204,7 +204,13 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
         (keyed["doc_key"] == F.col("__doc_key")) & (keyed["text_hash"] == F.col("__text_hash")),
         "left_semi",
     )
-    sets = settle(_shingled(texts).dropDuplicates(["node"]))
+    return settle(_shingled(texts).dropDuplicates(["node"]))
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes whose shingle sets reach the similarity, compared exactly."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = _sets(wanted, nodes, docs)
     both = (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("found").alias("found_a")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("found").alias("found_b")), "b")
@@ -225,6 +231,68 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(compare, "a binary, b binary")
 
 
+def common_counts(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of ``one`` shares with each of ``two``, as a matrix product."""
+    elements, place = np.unique(np.concatenate([*one, *two]), return_inverse=True)
+    owner = np.repeat(np.arange(len(one) + len(two)), [len(s) for s in (*one, *two)])
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    out = np.zeros((len(one), len(two)), np.float32)
+    for at in range(0, len(elements), COLUMNS):
+        part = slice(*np.searchsorted(place, [at, at + COLUMNS]))
+        held = np.zeros((len(one) + len(two), COLUMNS), np.float32)
+        held[owner[part], place[part] - at] = 1
+        out += held[: len(one)] @ held[len(one) :].T
+    return out
+
+
+def _bridges(tied: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between components that meet in a band, from (key, node, root, held).
+
+    All members of such a band are compared, in blocks: the members are dealt to blocks by a
+    hash, blocks of a band are joined, and a task compares two blocks. One link is returned
+    for two components of two blocks, never the pairs.
+    """
+    sets = _sets(tied.select("node").distinct(), nodes, docs)
+    number = F.pmod(F.xxhash64("node"), F.ceil(F.col("held") / BLOCK).cast("long"))
+    blocks = settle(
+        tied.withColumn("block", number)
+        .join(sets, "node")
+        .groupBy("key", "block")
+        .agg(F.collect_list(F.struct("node", "root", "found")).alias("members"))
+    )
+    others = blocks.select(
+        "key", F.col("block").alias("other"), F.col("members").alias("other_members")
+    )
+    met = blocks.join(others, "key").where(F.col("block") <= F.col("other"))
+    low, high = SIMILARITY
+
+    def parts(members) -> tuple[list[bytes], list[bytes], list[np.ndarray]]:
+        rows = members.values
+        nodes, roots = (rows.field(n).to_pylist() for n in ("node", "root"))
+        return nodes, roots, [np.frombuffer(x, np.uint64) for x in rows.field("found").to_pylist()]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            links: dict[tuple[bytes, bytes], tuple[bytes, bytes]] = {}
+            for left, right in zip(
+                batch.column("members"), batch.column("other_members"), strict=True
+            ):
+                (a_nodes, a_roots, one), (b_nodes, b_roots, two) = parts(left), parts(right)
+                same = common_counts(one, two)
+                sizes = np.add.outer([len(x) for x in one], [len(x) for x in two])
+                near = same * high >= (sizes - same) * low
+                near &= np.array(a_roots, object)[:, None] != np.array(b_roots, object)[None, :]
+                for i, j in zip(*np.nonzero(near), strict=True):
+                    links.setdefault((a_roots[i], b_roots[j]), (a_nodes[i], b_nodes[j]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[n] for x in links.values()], pa.binary()) for n in (0, 1)],
+                names=["a", "b"],
+            )
+
+    return met.select("members", "other_members").mapInArrow(compare, "a binary, b binary")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node of the component of each linked node.
 
@@ -286,7 +354,7 @@ def _classified(docs: DataFrame) -> DataFrame:
         F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node", "n")).alias("lead"),
     )
     shared = shared.where("held > 1").select(
-        "key", F.col("lead.node").alias("other"), F.col("lead.n").alias("other_n")
+        "key", "held", F.col("lead.node").alias("other"), F.col("lead.n").alias("other_n")
     )
     # members of a band meet its leader, another one in each band
     met = settle(rows.join(shared, "key"))
@@ -294,26 +362,18 @@ def _classified(docs: DataFrame) -> DataFrame:
     pairs = settle(met.where(keep).select(a, b).distinct())
     links = settle(_verified(pairs, nodes, docs))
     roots = settle(components(links))
-    # where a band still holds several components, their members meet each other
+    # where a band of three or more still holds several components, its members meet each other
     tied = (
-        met.select("key", "node", "n")
+        met.where("held > 2")
+        .select("key", "node", "held")
         .join(roots, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
     mixed = tied.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
     mixed = mixed.where(F.col("x") != F.col("y")).select("key")
     tied = settle(tied.join(mixed, "key", "left_semi"))
-    others = tied.select(
-        "key",
-        F.col("node").alias("other"),
-        F.col("n").alias("other_n"),
-        F.col("root").alias("other_root"),
-    )
-    more = tied.join(others, "key").where(F.col("root") < F.col("other_root"))
-    more = more.where(keep).select(a, b).distinct()
-    more = settle(more.join(pairs, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        links = links.union(settle(_verified(more, nodes, docs)))
+    if not tied.isEmpty():
+        links = settle(links.union(_bridges(tied, nodes, docs)))
         roots = settle(components(links))
     # every class takes the smallest id of its documents
     classes = nodes.join(roots, "node", "left").select(
@@ -343,8 +403,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     document is kept (all its rows, if rows repeat its id). Texts without words (also NULL)
     are alone. NULL ids count as the last; an empty table gives an empty one. Equal shingle
     sets are one node before any join, so copies cost nothing, and no pair of nodes is lost
-    that shares a band: members meet the leader of the band, then members of what is still
-    unconnected meet each other.
+    that shares a band: members meet the leader of the band, then members of bands that are still
+    not connected meet each other, in blocks.
     """
     docs = documents(docs).withColumn("text_hash", F.xxhash64("text"))
     found = _classified(docs)
