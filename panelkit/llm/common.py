@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 """Text handled at once by a Python worker; a single longer text is a slice of its own."""
 
 

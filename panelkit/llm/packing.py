@@ -32,7 +32,7 @@ SENTENCE_PENALTY = 4
 HARD_PENALTY = 24
 HARD_STEP = 32
 """Places for a cut in a stretch that has no sentence end for longer than this."""
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 """Tokens whose cuts a task finds together; the last two windows are left for the next block."""
 
 

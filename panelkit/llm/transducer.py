@@ -32,7 +32,7 @@ LEXICON_WORDS = 1 << 16
 LEXICON_WORD_BYTES = 32
 COUNTED_WORDS = 200_000
 """Distinct words that a task holds while it counts; it passes those seen twice on and restarts."""
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 150_000
 """Distinct words that a Python worker remembers before it starts afresh."""
 
 # ---- the automaton -------------------------------------------------------------------------
