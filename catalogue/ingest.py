@@ -38,18 +38,29 @@ def src_catalog_first_match(spark, sf_dir):
     return src.pick_files(_page_files(spark, sf_dir), "/en/[0-9]{3}")
 
 
+@register(
+    QUERIES,
+    f"""WITH {_FILES}, numbered AS (
+      SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY position) AS k FROM files)
+    SELECT dataset, position, name FROM numbered WHERE k = 3""",
+)
+def src_catalog_third_of_search(spark, sf_dir):
+    """Without a limit all datasets are searched."""
+    return src.pick_files(src.first_datasets(_page_files(spark, sf_dir)), nth=3)
+
+
 @register(
     QUERIES,
     f"""WITH {_FILES}, found AS (
-      SELECT dataset FROM files GROUP BY dataset ORDER BY dataset LIMIT 500),
+      SELECT dataset FROM files GROUP BY dataset ORDER BY dataset LIMIT 5),
     numbered AS (
       SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY position) AS k
       FROM files WHERE dataset IN (SELECT dataset FROM found))
-    SELECT dataset, position, name FROM numbered WHERE k = 3""",
+    SELECT dataset, position, name FROM numbered WHERE k = 1""",
 )
-def src_catalog_third_of_search(spark, sf_dir):
-    found = src.first_datasets(_page_files(spark, sf_dir), rows=500)
-    return src.pick_files(found, nth=3)
+def src_search_limit(spark, sf_dir):
+    """A search that the caller limits to five datasets."""
+    return src.pick_files(src.first_datasets(_page_files(spark, sf_dir), rows=5))
 
 
 @register(

@@ -127,7 +127,5 @@ def group_constant(
         F.lit(f"more than one value of {', '.join(constants)} in group "),
         F.to_json(F.struct(*by)),
     )
-    checked = F.when(F.col("__values") == 1, F.col(by[0])).otherwise(
-        F.raise_error(message).cast(df.schema[by[0]].dataType)
-    )
-    return grouped.withColumn(by[0], checked).drop("__values")
+    passed = F.when(F.col("__values") == 1, True).otherwise(F.raise_error(message).cast("boolean"))
+    return grouped.where(passed).drop("__values")

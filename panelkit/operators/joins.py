@@ -45,8 +45,6 @@ def require_unique(df: DataFrame, by: str | Sequence[str]) -> DataFrame:
         n_rows().alias("__n"), *[F.first(c).alias(c) for c in payload]
     )
     message = F.concat(F.lit(f"duplicate key in {', '.join(by)}: "), F.to_json(F.struct(*by)))
-    # the check sits on a key column, which every join on the key reads
-    checked = F.when(F.col("__n") == 1, F.col(by[0])).otherwise(
-        F.raise_error(message).cast(df.schema[by[0]].dataType)
-    )
-    return grouped.withColumn(by[0], checked).select(*df.columns)
+    # the check is a filter, which no projection or count can prune
+    passed = F.when(F.col("__n") == 1, True).otherwise(F.raise_error(message).cast("boolean"))
+    return grouped.where(passed).select(*df.columns)

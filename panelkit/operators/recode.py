@@ -38,10 +38,14 @@ def recode(
 
     Set ``unique`` if the keys are known to be unique, as in a table of customers. A large
     dictionary is then joined as it is stored, which lets adaptive execution split the
-    partition of a very frequent key; grouping it first would prevent that.
+    partition of a very frequent key; grouping it first would prevent that. A small job over
+    the dictionary's keys checks the promise first.
     """
     key, value = dictionary.columns[:2]
     if unique:
+        repeated = dictionary.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
+        if not repeated.isEmpty():
+            raise ValueError(f"keys of {key!r} repeat; leave unique off")
         entries = dictionary.select(F.col(key).alias("__key"), F.col(value).alias("__code"))
     else:
         low_high = dictionary.groupBy(F.col(key).alias("__key")).agg(

@@ -42,12 +42,8 @@ def point_columns(
     if bad != "fail":
         raise ValueError(f"unknown mode {bad!r}")
     message = F.concat(F.lit("bad coordinates: "), F.to_json(F.struct(x, y)))
-    return df.withColumns(
-        {
-            x: F.when(valid, px).otherwise(F.raise_error(message).cast("double")),
-            y: F.when(valid, py).otherwise(F.raise_error(message).cast("double")),
-        }
-    )
+    passed = F.when(valid, True).otherwise(F.raise_error(message).cast("boolean"))
+    return df.where(passed).withColumns({x: px, y: py})
 
 
 def point_problems(df: DataFrame, x: str = "longitude", y: str = "latitude") -> DataFrame:

@@ -1,4 +1,5 @@
-"""The composed jobs. Each takes DataFrames and returns one; nothing runs until a sink."""
+"""The composed jobs. Each takes DataFrames and returns one; the spatial ones settle
+their tiles and measure them while the plan is built, the others run nothing until a sink."""
 
 from .areas import area_need, enrich_polygons, events_by_area, percent_in_need
 from .combined import combined_panel

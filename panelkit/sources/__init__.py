@@ -2,13 +2,13 @@
 
 from .catalogue import first_datasets, pick_files, picked_paths, read_first_matches
 from .delimited import (
-    possibly, read_drifting_csv, read_key_file, read_table, read_with_preamble, readable_paths,
+    file_headers, possibly, read_drifting_csv, read_key_file, read_table, read_with_preamble, readable_paths,
 )
 from .geojson import parse_features, polygon_columns, polygon_wkt, read_geojson
 from .sinks import write_panel_csv, write_polygons
 
 __all__ = [
-    "first_datasets", "parse_features", "pick_files", "picked_paths", "polygon_columns",
+    "file_headers", "first_datasets", "parse_features", "pick_files", "picked_paths", "polygon_columns",
     "polygon_wkt", "possibly", "read_drifting_csv", "read_first_matches", "read_geojson",
     "read_key_file",
     "read_table", "read_with_preamble", "readable_paths", "write_panel_csv", "write_polygons",

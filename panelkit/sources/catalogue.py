@@ -12,14 +12,16 @@ from .delimited import read_drifting_csv
 
 def first_datasets(
     catalogue: DataFrame,
-    rows: int = 500,
+    rows: int | None = None,
     dataset: str = "dataset",
     order: Sequence[str] | None = None,
 ) -> DataFrame:
     """The files of the first ``rows`` datasets, as a search with a result limit would return.
 
-    ``order`` ranks the datasets (by name if not given).
+    ``order`` ranks the datasets (by name if not given). Without ``rows`` all are returned.
     """
+    if rows is None:
+        return catalogue
     order = list(order or [dataset])
     top = (
         catalogue.groupBy(F.col(dataset).alias("__dataset"))
@@ -48,10 +50,12 @@ def pick_files(
     return files.withColumn("__rank", rank).where(F.col("__rank") == nth).drop("__rank")
 
 
-def picked_paths(picked: DataFrame, rows: int = 500, path: str = "path") -> list[str]:
-    """Paths of the picked files, at most ``rows``: the search limit bounds the list."""
-    found = [r[0] for r in picked.select(path).orderBy(path).limit(rows + 1).collect()]
-    if len(found) > rows:
+def picked_paths(picked: DataFrame, rows: int | None = None, path: str = "path") -> list[str]:
+    """Paths of the picked files; more than ``rows`` of them, if given, are an error."""
+    paths = picked.select(path)
+    paths = paths if rows is None else paths.limit(rows + 1)
+    found = sorted(r[0] for r in paths.collect())
+    if rows is not None and len(found) > rows:
         raise ValueError(f"more than {rows} files; raise the limit or use first_datasets")
     return found
 
@@ -61,11 +65,11 @@ def read_first_matches(
     catalogue: DataFrame,
     pattern: str,
     casts: Mapping[str, str] | None = None,
-    rows: int = 500,
+    rows: int | None = None,
 ) -> DataFrame:
-    """The first matching file of each found dataset, all stacked by column name.
+    """The first matching file of each dataset (of the first ``rows``, if given), stacked by name.
 
-    Files that are absent or cannot be decoded are left out.
+    Files that are absent or cannot be decoded to their end are left out whole, with a warning.
     """
     picked = pick_files(first_datasets(catalogue, rows), pattern)
     return read_drifting_csv(spark, picked_paths(picked, rows), casts)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+import warnings
 from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,8 +46,9 @@ def read_table(
 ) -> DataFrame:
     """CSV with a header. ``na`` and unquoted empty fields are NULL, and bad fields too.
 
-    Give a schema for anything large: inference reads the data twice. ``skip_corrupt`` leaves
-    out files that cannot be decoded.
+    Give a schema for anything large: inference reads the data twice. ``skip_corrupt`` goes on
+    after a file that cannot be decoded, with the rows before the damage; to leave such files
+    out whole, take only those that ``file_headers`` returns.
     """
     reader = (
         spark.read.option("header", True)
@@ -56,6 +61,41 @@ def read_table(
     return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 
+def file_headers(
+    spark: SparkSession, paths: Sequence[str], skip: bool = True
+) -> tuple[dict[str, str], list[str]]:
+    """The first line of each file that can be read to its end, and the paths that cannot.
+
+    One job reads all files. Only if it fails is the list halved, and halved again, until the
+    bad files stand alone; so a damaged file is never read in part. With ``skip`` off its error
+    is raised. Empty files have no first line.
+    """
+    if not paths:
+        return {}, []
+    try:
+        lines = spark.read.option("ignoreCorruptFiles", False).text(list(paths))
+        numbered = lines.select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+            "value",
+        )
+        first = numbered.groupBy("path").agg(
+            F.min_by("value", F.struct("block", "row")).alias("line")
+        )
+        return {unquote(r["path"]): r["line"] for r in first.collect()}, []
+    except (AnalysisException, Py4JJavaError, PySparkException):
+        if not skip:
+            raise
+        if len(paths) == 1:
+            return {}, list(paths)
+    half = len(paths) // 2
+    (one, bad), (two, worse) = (
+        file_headers(spark, paths[:half], skip), file_headers(spark, paths[half:], skip)
+    )
+    return one | two, bad + worse
+
+
 def read_drifting_csv(
     spark: SparkSession,
     paths: Sequence[str],
@@ -66,20 +106,26 @@ def read_drifting_csv(
     """Many CSV files whose columns differ, as one table.
 
     Spark applies one schema by position to all paths of a read, so files are first grouped by
-    their header (only that line is read; the search limit bounds the number of files), each
-    layout is read once as text, and the layouts are stacked by name. Absent files are skipped.
-    ``casts`` turns text into types; what does not fit is NULL.
+    their header, each layout is read once as text, and the layouts are stacked by name. Absent
+    and damaged files are left out whole and named in a warning, or raise an error if
+    ``skip_corrupt`` is off. Without any readable file the table is empty and has the columns
+    of ``casts``, which turns text into types; what does not fit is NULL.
     """
-    header_of = possibly(lambda p: spark.read.option("header", True).csv(p).columns)
+    headers, bad = file_headers(spark, list(paths), skip_corrupt)
+    if bad:
+        warnings.warn(f"left out unreadable files: {', '.join(bad)}", stacklevel=2)
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        header = tuple(header_of(path) or ())
-        if header:
+    for path, line in sorted(headers.items()):
+        header = tuple(next(csv.reader([line.removeprefix("\ufeff")]), ()))
+        if any(header):
             layouts.setdefault(header, []).append(path)
+    if not layouts:
+        kinds = ", ".join(f"`{c}` {t}" for c, t in (casts or {}).items())
+        return spark.createDataFrame([], kinds or T.StructType([]))
     tables = []
     for header, members in layouts.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        tables.append(read_table(spark, members, schema, na, skip_corrupt))
+        tables.append(read_table(spark, members, schema, na))
     table = bind_rows(*tables)
     changed = {
         c: F.col(c).try_cast(t) for c, t in (casts or {}).items() if c in table.columns

@@ -1,6 +1,7 @@
 """Readers and writers on small files."""
 
 import gzip
+import os
 import json
 
 import pytest
@@ -42,13 +43,36 @@ def test_drifting_files(spark, rows, tmp_path):
     ]
     bad = tmp_path / "d.csv.gz"
     bad.write_bytes(gzip.compress(b"countryCode,year,funding\n" + b"A,1,1\n" * 9000)[:60])
-    df = src.read_drifting_csv(spark, paths, {"year": "int", "funding": "double"})
+    cut = tmp_path / "e.csv.gz"  # most of it can be read
+    whole = gzip.compress(b"countryCode,year,funding\n" + os.urandom(90_000).hex().encode())
+    cut.write_bytes(whole[: len(whole) * 2 // 3])
+    junk = write(tmp_path / "f.csv.gz", "countryCode,year,funding\nAFG,1,1\n")  # no gzip
+    damaged = [str(bad), str(cut), junk]
+    casts = {"year": "int", "funding": "double"}
+    with pytest.warns(UserWarning, match="e.csv.gz"):
+        df = src.read_drifting_csv(spark, paths + damaged, casts)
+    assert set(src.file_headers(spark, paths + damaged)[1]) == {paths[3], *damaged}
     assert rows(df, "countryCode", "year", "funding", "typeName") == [
         ("AFG", 2001, 1.5, None), ("TCD", 2003, None, None), (None, 2002, None, "7"),
     ]
     assert src.readable_paths(spark, paths) == paths[:3]
 
 
+def test_no_readable_file(spark, tmp_path):
+    with pytest.warns(UserWarning):
+        df = src.read_drifting_csv(spark, [str(tmp_path / "gone.csv")], {"year": "int"})
+    assert df.columns == ["year"] and df.count() == 0
+    with pytest.raises(Exception, match="gone.csv"):
+        src.read_drifting_csv(spark, [str(tmp_path / "gone.csv")], skip_corrupt=False)
+
+
+def test_catalogue_has_no_default_limit(spark):
+    files = spark.range(700).selectExpr("concat('d', id) AS dataset", "1 AS position", "'n' AS name", "concat('p', id) AS path")
+    picked = src.pick_files(src.first_datasets(files))
+    assert len(src.picked_paths(picked)) == 700
+    assert src.first_datasets(files, 600).count() == 600
+
+
 def test_catalogue_to_panel(spark, rows, tmp_path):
     """From a catalogue of files to the gap-free funding panel."""
     entries = []
