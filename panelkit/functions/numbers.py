@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The texts read as a decimal number. Spark alone would also take
+# The texts read as a decimal number or as infinity. Spark alone would also take
 # Java literals such as '1.5d' or '0x1p3'.
 DECIMAL_TEXT = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
+INFINITE_TEXT = r"^\s*[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?\s*$"
 
 
 def to_number(col: Column) -> Column:
     """Text to double; whatever is not a number becomes NULL instead of an error."""
     text = col.cast("string")
-    return F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double"))
+    below = F.trim(text).startswith("-")
+    infinite = F.when(below, float("-inf")).otherwise(float("inf"))
+    return F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double")).when(
+        text.rlike(INFINITE_TEXT), infinite
+    )
 
 
 def log10(col: Column) -> Column:

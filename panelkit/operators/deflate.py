@@ -17,10 +17,15 @@ def price_index(rates: DataFrame, year: str = "year", rate: str = "rate") -> Dat
 
     Years without a rate break the chain: ``chain`` numbers the unbroken stretches, and levels
     compare only within one. The table has one row per calendar year, a few thousand at most
-    (years 1 to 9999, checked to be unique), so a single window over it is safe.
+    (years 1 to 9999, or the query fails; checked to be unique), so a single window over it is
+    safe.
     """
+    message = F.concat(F.lit("no calendar year: "), F.coalesce(F.col(year).cast("string"), F.lit("NULL")))
+    calendar = F.when(F.col(year).between(1, 9999), True).otherwise(
+        F.raise_error(message).cast("boolean")
+    )
     known = require_unique(
-        rates.where(F.col(year).between(1, 9999) & F.col(rate).isNotNull()).select(
+        rates.where(F.col(rate).isNotNull()).where(calendar).select(
             F.col(year).cast("int").alias("year"), F.col(rate).cast("double").alias("__rate")
         ),
         "year",

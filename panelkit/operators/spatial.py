@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import n_rows
@@ -24,11 +24,7 @@ from .aggregate import Measures, summarise
 from .staging import BROADCAST_BYTES, fits_in_broadcast, settle
 
 EDGE_BYTES, TILE_BYTES = 56, 96
-TILE_TASKS = 200
-CELL_EDGES = (
-    "array<struct<e: struct<x1: double, y1: double, x2: double, y2: double>, "
-    "left: bigint, right: bigint, low: bigint, high: bigint>>"
-)
+ROW = "__polygon"
 
 
 def point_columns(
@@ -97,6 +93,25 @@ def _cell(value: Column, size: float) -> Column:
     return F.floor(value / F.lit(float(size)))
 
 
+def _numbered(polygons: DataFrame) -> DataFrame:
+    """The polygons, written once, each with a number of its own: ids may repeat or be NULL."""
+    return settle(polygons.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def _odd_runs(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(*keys, tile_x): the cells with an odd number of ``__left`` values further right.
+
+    Outlines are closed, so the values that occur an odd number of times come in pairs, and the
+    cells wanted lie from the first to just before the second of a pair.
+    """
+    odd = rows.groupBy(*keys, "__left").agg(n_rows().alias("__n")).where("__n % 2 = 1")
+    line = Window.partitionBy(*keys).orderBy("__left")
+    runs = odd.withColumns(
+        {"__nth": F.row_number().over(line), "__next": F.lead("__left").over(line)}
+    ).where("__nth % 2 = 1 AND __next IS NOT NULL")
+    return runs.select(*keys, F.explode(F.sequence("__left", F.col("__next") - 1)).alias("tile_x"))
+
+
 def tile_polygons(
     polygons: DataFrame,
     id_col: str,
@@ -107,88 +122,65 @@ def tile_polygons(
 ) -> DataFrame:
     """One row per polygon and grid cell it may touch.
 
-    (id, tile_x, tile_y, tile_inside, tile_edges, tile_base, tile_turns): a tile is inside as a
-    whole, or has the edges that enter it, the number of edges further right that pass below
-    its row, and the heights within the row at which such an edge starts or ends.
+    (id, tile_x, tile_y, tile_edges, tile_turns, tile_base, tile_inside): a tile is inside as a
+    whole, or has the edges that enter it, whether an odd number of edges further right passes
+    below its row (0 or 1), and the heights within the row at which such an edge starts or ends.
 
-    No shuffle beyond spreading the polygons. A polygon wider than ``max_width`` most likely
-    crosses the date line, where planar tests are wrong, and fails the query.
+    Edges, not polygons, are the unit of work. Each goes to the cells of its own box. Where two
+    edges meet, their heights cancel out but in the cells between their left ends; the cells
+    with an odd number of edges further right are runs along a row. So the work grows with the
+    edges and tiles, and a long outline is shared by many tasks. Rows with the same id, or
+    none, are polygons of their own. A polygon wider than ``max_width`` most likely crosses
+    the date line, where planar tests are wrong, and fails the query.
     """
+    if id_col != ROW:
+        polygons = _numbered(polygons.select(id_col, edges))
     t = F.lit(float(tolerance))
-    cells = F.transform(
-        F.col(edges),
-        lambda e: F.struct(
-            e.alias("e"),
-            _cell(F.least(e.x1, e.x2) - t, cell).alias("left"),
-            _cell(F.greatest(e.x1, e.x2) + t, cell).alias("right"),
-            _cell(F.least(e.y1, e.y2) - t, cell).alias("low"),
-            _cell(F.greatest(e.y1, e.y2) + t, cell).alias("high"),
-        ),
-    )
     width = F.array_max(
         F.transform(F.col(edges), lambda e: F.greatest(e.x1, e.x2))
     ) - F.array_min(F.transform(F.col(edges), lambda e: F.least(e.x1, e.x2)))
     message = F.concat(F.lit("polygon too wide: "), F.col(id_col).cast("string"))
-    checked = F.when(
-        width > max_width, F.raise_error(message).cast(CELL_EDGES)
-    ).otherwise(cells)
-
-    def span(low: str, high: str) -> Column:
-        # NULL for a polygon without edges, which then has no tiles
-        return F.sequence(
-            F.array_min(F.transform("__cells", lambda e: e[low])),
-            F.array_max(F.transform("__cells", lambda e: e[high])),
-        )
-
-    # a fixed number of partitions, as few bytes of edges can make many tiles
-    tasks = min(TILE_TASKS, int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    tile_x, tile_y = F.col("tile_x"), F.col("tile_y")
-    in_row = F.filter("__cells", lambda e: (e.low <= tile_y) & (tile_y <= e.high))
-    entering = F.filter("__cells", lambda e: (e.left <= tile_x) & (tile_x <= e.right))
-    heights = F.flatten(
-        F.transform(
-            F.filter("__cells", lambda e: e.left > tile_x), lambda e: F.array(e.e.y1, e.e.y2)
+    narrow = F.when(width > max_width, F.raise_error(message).cast("boolean")).otherwise(True)
+    key = list(dict.fromkeys([ROW, id_col]))
+    e = F.col("__edge")
+    segments = (
+        polygons.where(narrow)
+        .select(*key, F.explode(edges).alias("__edge"))
+        .withColumns(
+            {
+                "__left": _cell(F.least(e.x1, e.x2) - t, cell),
+                "__right": _cell(F.greatest(e.x1, e.x2) + t, cell),
+                "__low": _cell(F.least(e.y1, e.y2) - t, cell),
+                "__high": _cell(F.greatest(e.y1, e.y2) + t, cell),
+                "__first": _cell(F.least(e.y1, e.y2), cell),
+                "__last": _cell(F.greatest(e.y1, e.y2), cell),
+            }
         )
     )
-    tiles = (
-        polygons.select(id_col, edges)
-        .repartition(tasks, F.col(id_col))
-        .select(id_col, checked.alias("__cells"))
-        .select(id_col, "__cells", F.explode(span("low", "high")).alias("tile_y"))
-        .select(id_col, "tile_y", in_row.alias("__cells"))
-        .select(id_col, "tile_y", "__cells", F.explode(span("left", "right")).alias("tile_x"))
-        .select(
-            id_col,
-            "tile_x",
-            "tile_y",
-            F.transform(entering, lambda e: e.e).alias("tile_edges"),
-            heights.alias("__heights"),
-        )
-        .select(
-            id_col,
-            "tile_x",
-            "tile_y",
-            "tile_edges",
-            F.size(F.filter("__heights", lambda h: _cell(h, cell) < tile_y)).alias("tile_base"),
-            _odd_ones(
-                F.filter("__heights", lambda h: _cell(h, cell) == tile_y)
-            ).alias("tile_turns"),
-        )
+    place = [*key, "tile_x", "tile_y"]
+    entering = segments.select(
+        "*", F.explode(F.sequence("__low", "__high")).alias("tile_y")
+    ).select("*", F.explode(F.sequence("__left", "__right")).alias("tile_x"))
+    ends = segments.select(*key, "__left", F.explode(F.array(e.y1, e.y2)).alias("__height"))
+    turns = _odd_runs(
+        ends.withColumn("tile_y", _cell(F.col("__height"), cell)), [*key, "tile_y", "__height"]
     )
-    whole = (F.size("tile_edges") == 0) & (F.size("tile_turns") == 0)
-    inside = whole & (F.col("tile_base") % 2 == 1)
-    return tiles.withColumn("tile_inside", inside).where(~whole | F.col("tile_inside"))
-
-
-def _odd_ones(values: Column) -> Column:
-    """The values that occur an odd number of times: where two edges meet, nothing changes."""
-    none = F.array().cast("array<double>")
-    return F.aggregate(
-        F.sort_array(values),
-        none,
-        lambda kept, v: F.when(
-            F.try_element_at(kept, F.lit(-1)) == v, F.slice(kept, 1, F.size(kept) - 1)
-        ).otherwise(F.concat(kept, F.array(v))),
+    passing = segments.where("__first < __last").select(
+        *key, "__left", F.explode(F.sequence(F.col("__first") + 1, "__last")).alias("tile_y")
+    )
+    below = _odd_runs(passing, [*key, "tile_y"])
+    return (
+        entering.select(*place, "__edge")
+        .unionByName(turns.select(*place, "__height"), allowMissingColumns=True)
+        .unionByName(below.select(*place, F.lit(1).alias("__odd")), allowMissingColumns=True)
+        .groupBy(*place)
+        .agg(
+            F.collect_list("__edge").alias("tile_edges"),
+            F.collect_list("__height").alias("tile_turns"),
+            F.coalesce(F.max("__odd"), F.lit(0)).alias("tile_base"),
+        )
+        .withColumn("tile_inside", (F.size("tile_edges") == 0) & (F.size("tile_turns") == 0))
+        .drop(*[c for c in key if c != id_col])
     )
 
 
@@ -302,8 +294,7 @@ def match_points(
     ``cell`` is the grid size in the unit of the coordinates. It changes the speed, not the
     answer: small cells leave more points without a test and make more tiles.
     """
-    if id_col in points.columns:
-        raise ValueError(f"points have a column {id_col!r} too; rename one of them")
+    _no_clash(points, [id_col])
     tiles = tile_polygons(polygons, id_col, cell, tolerance=tolerance)
     return _join_tiles(
         points, tiles, x, y, cell, "inner", tolerance, broadcast_bytes
@@ -340,18 +331,20 @@ def count_in_polygons(
     """Every polygon with measures over the points it covers; 0 where it covers none.
 
     The points are matched and combined per polygon before anything is shuffled; only then the
-    polygons are joined back, one row each.
+    polygons are joined back, one row each. Rows with the same id, or none, count on their own.
     """
-    matched = match_points(points, polygons, id_col, x, y, cell, **options)
-    totals = summarise(matched, [id_col], measures).withColumnRenamed(id_col, "__id")
+    _no_clash(points, [id_col])
+    numbered = _numbered(polygons)
+    matched = match_points(points, numbered, ROW, x, y, cell, **options)
+    totals = summarise(matched, [ROW], measures).withColumnRenamed(ROW, "__id")
     zero_if_empty = {
         name: F.when(F.col("__id").isNull() & (F.lit(m.kind) != "strict"), F.lit(0))
         .otherwise(F.col(name))
         .alias(name)
         for name, m in measures.items()
     }
-    return polygons.join(totals, F.col(id_col) == F.col("__id"), "left").select(
-        *[polygons[c] for c in polygons.columns], *zero_if_empty.values()
+    return numbered.join(totals, F.col(ROW) == F.col("__id"), "left").select(
+        *[numbered[c] for c in polygons.columns], *zero_if_empty.values()
     )
 
 
@@ -369,16 +362,23 @@ def spatial_left_join(
 
     ``carry`` names the polygon columns to keep (all by default). Matched points get the
     columns of their polygon, and the polygons without a match are added by a union: so no
-    shuffle gathers the points of one polygon.
+    shuffle gathers the points of one polygon. The pairs are written once, so the points are
+    read and tested once. Rows with the same id, or none, are polygons of their own.
     """
     carry = list(carry or polygons.columns)
-    matched = match_points(points, polygons, id_col, x, y, cell, **options)
-    matched = matched.withColumnRenamed(id_col, "__id")
-    sides = polygons.select(F.col(id_col).alias("__polygon"), *[F.col(c) for c in carry])
+    _no_clash(points, [id_col, *carry])
+    numbered = _numbered(polygons)
+    matched = settle(match_points(points, numbered, ROW, x, y, cell, **options))
+    sides = numbered.select(F.col(ROW).alias("__id"), *carry)
+    hit = matched.select(F.col(ROW).alias("__hit")).distinct()
+    alone = sides.join(hit, sides["__id"] == hit["__hit"], "left_anti").select(*carry)
     if fits_in_broadcast(sides, F.length(F.to_json(F.struct(*sides.columns))) + 64):
         sides = F.broadcast(sides)
-    pairs = matched.join(sides, matched["__id"] == sides["__polygon"]).drop("__id", "__polygon")
-    hit = matched.select("__id").distinct()
-    alone = polygons.join(hit, polygons[id_col] == hit["__id"], "left_anti").select(*carry)
-    names = carry + [c for c in points.columns if c not in carry]
-    return pairs.select(*names).unionByName(alone, allowMissingColumns=True)
+    pairs = matched.join(sides, matched[ROW] == sides["__id"])
+    return pairs.select(*carry, *points.columns).unionByName(alone, allowMissingColumns=True)
+
+
+def _no_clash(points: DataFrame, names: Sequence[str]) -> None:
+    shared = sorted(set(names) & set(points.columns))
+    if shared:
+        raise ValueError(f"points have columns {shared} too; rename one side")

@@ -11,6 +11,9 @@ from ..operators.aggregate import lenient_sum, summarise
 from ..operators.bind import bind_rows, distinct_rows, harmonise
 from ..operators.complete import complete
 
+MONEY = "decimal(38,6)"
+"""Amounts are added exactly to a millionth, up to 10**32."""
+
 
 def funding_panel(
     files: DataFrame | Sequence[DataFrame | None],
@@ -20,11 +23,11 @@ def funding_panel(
     year: str = "year",
     amounts: Sequence[str] = ("requirements", "funding"),
     casts: Mapping[str, str] | None = None,
-    money: str = "decimal(18,2)",
+    money: str = MONEY,
 ) -> DataFrame:
     """(iso3, year, *amounts): stacked files, copies dropped, summed, gaps filled with 0.
 
-    Amounts are added as decimals, so the sums do not depend on the order of the rows, and are
+    Amounts are added as ``money``, so the sums do not depend on the order of the rows, and are
     returned as doubles. Whole-row copies collapse within each task before the shuffle.
     """
     tables = [files] if isinstance(files, DataFrame) else files

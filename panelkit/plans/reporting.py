@@ -10,6 +10,7 @@ from ..functions.numbers import log10, number_label
 from ..operators.aggregate import complete_sum, group_constant, lenient_sum, summarise
 from ..operators.deflate import deflate
 from ..operators.shares import add_share, add_stack
+from .funding import MONEY
 
 AMOUNTS = ("funding", "requirements")
 
@@ -21,7 +22,7 @@ def financial_flows(
     stop: int = 2022,
     price_year: int = 2021,
     stacked: str = "funding_real",
-    money: str = "decimal(18,2)",
+    money: str = MONEY,
 ) -> DataFrame:
     """Money per year and crisis class: totals, shares of the year, real value, area bounds.
 
