@@ -238,3 +238,25 @@ def geo_point_problems(spark, sf_dir):
         F.lit(0.0).alias("latitude"),
     )
     return op.point_problems(places)
+
+
+@register(
+    QUERIES,
+    f"""WITH {AREAS}, {INCIDENTS},
+    places AS (SELECT x, y, count(*) AS n FROM incidents GROUP BY ALL),
+    hits AS ({covered("incidents", "edges", "area_id")})
+    SELECT a.area_id, CASE WHEN a.region < 3 THEN a.region END AS shared,
+      coalesce(sum(n), 0)::BIGINT AS events
+    FROM areas a LEFT JOIN hits h ON h.area_id = a.area_id
+    LEFT JOIN places p ON h.x = p.x AND h.y = p.y GROUP BY ALL""",
+)
+def geo_repeated_ids(spark, sf_dir):
+    """Areas whose id is shared by many, or missing, count on their own."""
+    areas = nation_areas(spark, sf_dir).withColumn(
+        "shared", F.when(F.col("region") < 3, F.col("region"))
+    )
+    counted = op.count_in_polygons(
+        areas, op.point_columns(line_incidents(spark, sf_dir)), "shared",
+        {"events": op.measure_rows()}, cell=2.0,
+    )
+    return counted.select("area_id", "shared", "events")

@@ -257,3 +257,37 @@ def test_wkt(polygons):
         "w", src.polygon_wkt(F.col("parts"))).collect()}
     assert text["empty"] == "MULTIPOLYGON (((50.0 50.0, 51.0 50.0, 51.0 51.0, 50.0 50.0)))"
     assert text["hole"].count("(") == 4
+
+
+def test_repeated_and_missing_ids_are_polygons_of_their_own(spark, rows):
+    def square(name, x):
+        ring = [[x, 0], [x + 1, 0], [x + 1, 1], [x, 1], [x, 0]]
+        geometry = {"type": "Polygon", "coordinates": [ring]}
+        return (json.dumps({"properties": {"name": name, "x": x}, "geometry": geometry}),)
+
+    df = spark.createDataFrame([square("a", 0), square("a", 0.5), square(None, 4)], "f string")
+    areas = src.parse_features(df, "f", {"name": "string", "x": "double"})
+    points = spark.createDataFrame(
+        [(1, 0.2, 0.5), (2, 0.7, 0.5), (3, 4.5, 0.5)], "id int, longitude double, latitude double"
+    )
+    counted = op.count_in_polygons(areas, points, "name", {"n": op.measure_rows()})
+    assert rows(counted, "x", "n") == [(0.0, 2), (0.5, 1), (4.0, 1)]
+    joined = op.spatial_left_join(areas, points, "name", carry=["name", "x"])
+    assert rows(joined, "x", "id") == [(0.0, 1), (0.0, 2), (0.5, 2), (4.0, 3)]
+
+
+def test_a_long_outline_is_tiled_by_several_tasks(spark):
+    n = 20_000
+    ring = [[9 * math.cos(2 * math.pi * i / n), 9 * math.sin(2 * math.pi * i / n)]
+            for i in range(n)]
+    text = json.dumps({"properties": {"name": "round"},
+                       "geometry": {"type": "Polygon", "coordinates": [ring]}})
+    area = src.parse_features(
+        spark.createDataFrame([(text,)], "f string"), "f", {"name": "string"})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tiles = op.tile_polygons(area, "name", 0.5).withColumn("task", F.spark_partition_id())
+        got = tiles.agg(F.count_distinct("task"), F.sum(F.size("tile_edges"))).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got[0] > 1 and got[1] >= n
