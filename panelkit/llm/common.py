@@ -96,6 +96,23 @@ def powers(base: int, n: int) -> np.ndarray:
     return out
 
 
+def thinned(df: DataFrame, label: str, key: str, rows: int) -> DataFrame:
+    """Rows of each label with the lowest hashes of the key, about twice ``rows`` (or all).
+
+    The share to take follows from the number of rows of the label, so what is left does not
+    grow with the table or its number of tasks. ``sample_per_class`` takes the same rows from
+    it as from the whole. There is one count per label, and labels are as few as a model has.
+    """
+    sizes = df.groupBy(F.col(label).alias("__class")).agg(F.count(F.lit(1)).alias("__size"))
+    share = F.lit(2.0 * rows + 64) / F.col("__size")
+    place = F.xxhash64(key) / F.lit(2.0**64) + F.lit(0.5)
+    return (
+        df.join(F.broadcast(sizes), F.col(label) == F.col("__class"))
+        .where(place <= share)
+        .drop("__class", "__size")
+    )
+
+
 def sample_per_class(df: DataFrame, label: str, key: str, rows: int) -> DataFrame:
     """At most ``rows`` rows of each label, chosen by a hash of the key.
 

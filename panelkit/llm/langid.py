@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, held_out, map_texts, mix64, sample_per_class, texts_of
+from .common import documents, held_out, map_texts, mix64, sample_per_class, texts_of, thinned
 
 UNKNOWN = "und"
 FEATURES = 4096
@@ -160,7 +160,8 @@ def train_languages(docs: DataFrame, rows: int = TRAIN_ROWS) -> LanguageModel:
     usable = documents(docs, "lang").where(
         ~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
-    chosen = sample_per_class(usable, "lang", "doc_id", rows)
+    few = thinned(usable, "lang", "doc_id", rows)
+    chosen = sample_per_class(few, "lang", "doc_id", rows)
 
     def make():
         def step(part: pa.RecordBatch) -> dict:

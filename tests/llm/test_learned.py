@@ -3,7 +3,7 @@
 import zlib
 
 import numpy as np
-from panelkit.llm import langid, quality, queries
+from panelkit.llm import common, langid, quality, queries
 from panelkit.llm.common import held_out, table
 from pyspark.sql import functions as F
 
@@ -82,3 +82,14 @@ def test_quality_of_odd_documents(spark, odd, none):
     labels = spark.createDataFrame([(1, None), (2, 7), (None, 1)], "doc_id long, quality int")
     constant = quality.train_quality(odd, labels)
     assert {r["score"] for r in quality.score_quality(odd, constant).collect()} == {0.5}
+
+
+def test_thinned_rows_hold_the_whole_sample(spark):
+    df = spark.range(20_000).selectExpr(
+        "id AS doc_id", "CASE WHEN id % 100 = 0 THEN 'rare' ELSE 'often' END AS lang"
+    )
+    few = common.thinned(df, "lang", "doc_id", 50)
+    assert few.columns == df.columns and few.count() < 600
+    whole, part = (common.sample_per_class(x, "lang", "doc_id", 50) for x in (df, few))
+    assert sorted(whole.collect()) == sorted(part.collect()) and part.count() == 100
+    assert common.thinned(df.limit(0), "lang", "doc_id", 50).count() == 0
