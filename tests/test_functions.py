@@ -56,6 +56,9 @@ def test_to_number(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
     out = [r[0] for r in df.select(pf.to_number(F.col("t"))).collect()]
     assert out == [None, None, 1.5, 1000.0, None, None, None, None, -0.5, 7.0]
+    df = spark.createDataFrame([(t,) for t in ["Inf", " -inf ", "infinity", "info"]], "t string")
+    out = [r[0] for r in df.coalesce(1).select(pf.to_number(F.col("t"))).collect()]
+    assert out == [math.inf, -math.inf, math.inf, None]
 
 
 def test_log10_and_share(spark):

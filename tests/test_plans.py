@@ -47,6 +47,14 @@ def panel(spark, incidents):
     return plans.conflict_panel(incidents, codes, {678: "YEM"}, 1999, 2001, keys)
 
 
+def test_small_and_large_amounts_are_summed_exactly(spark, rows):
+    df = spark.createDataFrame(
+        [("AFG", 2000, 0.004, 1e17, "a"), ("AFG", 2000, 0.004, 1e17, "b")],
+        "countryCode string, year int, requirements double, funding double, typeName string",
+    )
+    assert rows(plans.funding_panel(df, 2000, 2000)) == [("AFG", 2000, 0.008, 2e17)]
+
+
 def test_funding_panel(spark, rows):
     one = spark.createDataFrame(
         [("AFG", 1999, 10.0, 1.0), ("AFG", 2001, None, 0.1), ("AFG", 2001, 5.0, 0.2),
