@@ -8,12 +8,17 @@ documents of which n(e) hold the entity, n(t) the term and n(t, e) the term near
 
 pointwise mutual information over the information content of the entity: 1 says that the term
 occurs only near this entity. Terms from DISCLOSED on are generalised to a placeholder, terms
-from REMOVED on are taken out, in all documents that hold the entity. A pair is only judged if
-MIN_TEXTS different texts show it.
+from REMOVED on are taken out, in all documents that hold the entity. Every pair is judged: if
+fewer than MIN_TEXTS different texts show it, its share counts if the counts of the corpus leave
+a chance of CHANCE at most that so many texts hold both by accident. An entity and a term that
+stand in one text of a large corpus and nowhere else pass; in a corpus of less than e / CHANCE
+(272) texts one text says nothing.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +29,7 @@ TERM = "term"
 CONTEXT = 80
 """Characters on each side of an entity in which its terms are looked for."""
 MIN_TEXTS = 3
+CHANCE = 0.01
 DISCLOSED, REMOVED = 0.8, 0.99
 BROADCAST_BYTES = 16 << 20
 
@@ -159,38 +165,49 @@ def _key() -> Column:
     )
 
 
+def _log_chance(total: int) -> Column:
+    """Chernoff's bound for the chance that ``texts`` or more texts hold term and entity by accident.
+
+    Copies of a text near the entity count once.
+    """
+    texts = F.col("texts")
+    spread = F.greatest(F.col("n_term") - F.col("n"), F.lit(0)) + texts
+    mean = spread * F.col("texts_entity") / F.lit(float(total))
+    return F.when(mean < texts, texts - mean + texts * F.log(mean / texts)).otherwise(0.0)
+
+
 def disclosing_terms(docs: DataFrame, marked: DataFrame) -> DataFrame:
     """(entity, terms): the terms of each entity from DISCLOSED on, with their share.
 
     ``docs`` is the corpus, ``marked`` the same with its spans. Counts cover all documents and
     are combined per task before they are shuffled; the words of the corpus are only counted
-    if they are candidates.
+    if they are candidates, where these are few enough to tell each task.
     """
     near = _entities(marked).groupBy("entity", "term", "content", "key").agg(F.lit(1).alias("n"))
     pairs = near.groupBy("entity", "term", "content").agg(F.sum("n").alias("n"))
     pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n"), F.count("*").alias("texts"))
-    pairs = settle(pairs.where((F.col("texts") >= MIN_TEXTS) | (F.col("term") == "")))
+    pairs = settle(pairs)
     candidates = settle(pairs.where("term != ''").select("term").distinct())
-    schema = "entity string, terms array<struct<term:string,share:double>>"
-    if candidates.isEmpty():
-        return docs.sparkSession.createDataFrame([], schema)
-    if fits_in_broadcast(candidates, F.octet_length("term") + 32, BROADCAST_BYTES):
-        candidates = F.broadcast(candidates)
+    words = docs.select(F.explode(_words(F.col("text").cast("string"))).alias("term"))
+    few = fits_in_broadcast(candidates, F.octet_length("term") + 32, BROADCAST_BYTES)
+    if few:
+        words = words.join(F.broadcast(candidates), "term", "left_semi")
     total = docs.count()
-    held = (
-        docs.select(F.explode(_words(F.col("text").cast("string"))).alias("term"))
-        .join(candidates, "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count("*").alias("n_term"))
+    # settled, so that the join below can split the pairs of a frequent term
+    held = settle(words.groupBy("term").agg(F.count("*").alias("n_term")))
+    if few:
+        held = F.broadcast(held)
+    entities = pairs.where("term = ''").select(
+        "entity", F.col("n").alias("n_entity"), F.col("texts").alias("texts_entity")
     )
-    entities = pairs.where("term = ''").select("entity", F.col("n").alias("n_entity"))
     judged = pairs.where("term != ''").join(entities, "entity").join(held, "term")
     together = F.least("n", "n_entity", "n_term")
     shown = F.log2(F.lit(float(total)) * together / (F.col("n_term") * F.col("n_entity")))
     content = F.log2(F.lit(float(total)) / F.col("n_entity"))
     judged = judged.withColumn("share", F.when(content > 0, shown / content))
+    sure = (F.col("texts") >= MIN_TEXTS) | (_log_chance(total) <= math.log(CHANCE))
     return (
-        judged.where(F.col("share") >= DISCLOSED)
+        judged.where((F.col("share") >= DISCLOSED) & sure)
         .groupBy("entity")
         .agg(F.sort_array(F.collect_set(F.struct("term", "share"))).alias("terms"))
     )

@@ -122,6 +122,29 @@ def test_disclosing_terms(spark):
     assert "email:lone@corp.example.com" not in found
 
 
+def test_entity_of_one_text_in_a_large_corpus(spark):
+    draw = random.Random(5)
+    fill = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrs"]
+    rows = [(n, " ".join(draw.choices(fill, k=20))) for n in range(1000)]
+    rows += [(1000, "bal dem Zebulon of Quux wrote zeb@corp.example.com fin gon")]
+    rows += [(n, "Yorick Xanthe yor@corp.example.com") for n in range(1001, 1003)]  # copies
+    rows += [(1003, "Quux dem fin")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {
+        r["entity"]: {t["term"]: t["share"] for t in r["terms"]}
+        for r in disclosure.disclosing_terms(docs, disclosure.with_spans(docs)).collect()
+    }
+    n = len(rows)
+    assert found.keys() == {"email:zeb@corp.example.com", "email:yor@corp.example.com"}
+    zeb = found["email:zeb@corp.example.com"]
+    assert zeb.keys() == {"zebulon", "wrote", "quux"}
+    assert zeb["zebulon"] == 1 and abs(zeb["quux"] - math.log2(n / 2) / math.log2(n)) < 1e-9
+    assert found["email:yor@corp.example.com"] == {"yorick": 1, "xanthe": 1}
+    texts = dict(disclosure.sanitise(docs).collect())
+    assert texts[1000] == "bal dem  of [TERM]  [EMAIL] fin gon"
+    assert texts[1003] == "Quux dem fin" and texts[1001].strip() == "[EMAIL]"
+
+
 def test_sanitised_texts(spark, odd):
     docs = spark.createDataFrame(secret_documents(), "doc_id long, text string")
     texts = dict(disclosure.sanitise(docs).collect())
