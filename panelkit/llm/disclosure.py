@@ -132,13 +132,19 @@ def with_spans(docs: DataFrame) -> DataFrame:
     return docs.drop(*found)
 
 
-def _words(text: Column) -> Column:
-    """Distinct words of three letters and more, in lower case."""
+ANY_WORD = r"\p{L}\p{M}\p{N}"
+"""What a term is made of: letters, their marks and digits."""
+
+
+def _words(text: Column, short: bool) -> Column:
+    """Distinct words in lower case: all with ``short``, else those of three letters and more."""
+    if short:
+        return F.array_distinct(F.array_remove(F.split(F.lower(text), f"[^{ANY_WORD}]++"), ""))
     words = F.split(F.lower(text), r"[^\p{L}]++")
     return F.array_distinct(F.filter(words, lambda w: F.length(w) >= 3))
 
 
-def _entities(marked: DataFrame) -> DataFrame:
+def _entities(marked: DataFrame, short: bool) -> DataFrame:
     """(key, content, entity, term): words near each entity, with an empty term for the entity itself."""
     text = F.col("text").cast("string")
     spans = marked.where(F.size("__spans") > 0).select(
@@ -147,7 +153,7 @@ def _entities(marked: DataFrame) -> DataFrame:
     begin = F.greatest(F.col("s.start") - CONTEXT, F.lit(0))
     before = F.substring(F.col("text"), (begin + 1).cast("int"), (F.col("s.start") - begin).cast("int"))
     after = F.substring(F.col("text"), (F.col("s.end") + 1).cast("int"), F.lit(CONTEXT))
-    terms = F.concat(F.array(F.lit("")), _words(F.concat_ws(" ", before, after)))
+    terms = F.concat(F.array(F.lit("")), _words(F.concat_ws(" ", before, after), short))
     return spans.select(
         "key",
         F.md5(F.col("text").cast("binary")).alias("content"),
@@ -176,19 +182,20 @@ def _log_chance(total: int) -> Column:
     return F.when(mean < texts, texts - mean + texts * F.log(mean / texts)).otherwise(0.0)
 
 
-def disclosing_terms(docs: DataFrame, marked: DataFrame) -> DataFrame:
+def disclosing_terms(docs: DataFrame, marked: DataFrame, short: bool = False) -> DataFrame:
     """(entity, terms): the terms of each entity from DISCLOSED on, with their share.
 
     ``docs`` is the corpus, ``marked`` the same with its spans. Counts cover all documents and
     are combined per task before they are shuffled; the words of the corpus are only counted
-    if they are candidates, where these are few enough to tell each task.
+    if they are candidates, where these are few enough to tell each task. With ``short``, as in
+    all results of this module, words of one or two letters or with digits are terms as well.
     """
-    near = _entities(marked).groupBy("entity", "term", "content", "key").agg(F.lit(1).alias("n"))
+    near = _entities(marked, short).groupBy("entity", "term", "content", "key").agg(F.lit(1).alias("n"))
     pairs = near.groupBy("entity", "term", "content").agg(F.sum("n").alias("n"))
     pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n"), F.count("*").alias("texts"))
     pairs = settle(pairs)
     candidates = settle(pairs.where("term != ''").select("term").distinct())
-    words = docs.select(F.explode(_words(F.col("text").cast("string"))).alias("term"))
+    words = docs.select(F.explode(_words(F.col("text").cast("string"), short)).alias("term"))
     few = fits_in_broadcast(candidates, F.octet_length("term") + 32, BROADCAST_BYTES)
     if few:
         words = words.join(F.broadcast(candidates), "term", "left_semi")
@@ -216,7 +223,7 @@ def disclosing_terms(docs: DataFrame, marked: DataFrame) -> DataFrame:
 def _with_terms(docs: DataFrame, marked: DataFrame) -> DataFrame:
     """Documents that hold personal data, with ``__terms``: spans of words that disclose it."""
     private = marked.where(F.size("__spans") > 0).withColumn("__key", _key())
-    terms = settle(disclosing_terms(docs, marked))
+    terms = settle(disclosing_terms(docs, marked, short=True))
     entity = F.transform(
         "__spans", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))
     )
@@ -234,7 +241,7 @@ def _with_terms(docs: DataFrame, marked: DataFrame) -> DataFrame:
     )
     private = private.join(held, private["__key"] == held["__own"], "left").drop("__key", "__own")
     pattern = F.concat(
-        F.lit(r"(?iu)(?<![\p{L}])(?:"), F.array_join("__words", "|"), F.lit(r")(?![\p{L}])")
+        F.lit(f"(?iu)(?<![{ANY_WORD}])(?:"), F.array_join("__words", "|"), F.lit(f")(?![{ANY_WORD}])")
     )
     text = F.col("text").cast("string")
     found = F.when(

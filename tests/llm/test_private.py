@@ -141,10 +141,25 @@ def test_entity_of_one_text_in_a_large_corpus(spark):
     assert zeb["zebulon"] == 1 and abs(zeb["quux"] - math.log2(n / 2) / math.log2(n)) < 1e-9
     assert found["email:yor@corp.example.com"] == {"yorick": 1, "xanthe": 1}
     texts = dict(disclosure.sanitise(docs).collect())
-    assert texts[1000] == "bal dem  of [TERM]  [EMAIL] fin gon"
+    assert texts[1000] == "bal dem   [TERM]  [EMAIL] fin gon"
     assert texts[1003] == "Quux dem fin" and texts[1001].strip() == "[EMAIL]"
 
 
+def test_short_terms_and_terms_with_digits(spark):
+    fill = "it is so on 12 345 no me".split()
+    draw = random.Random(6)
+    rows = [(n, " ".join(draw.choices(fill, k=30))) for n in range(600)]
+    rows += [(600, "it is Li 王芳 at K47 12, so 90210: li@corp.example.com on 345 no")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(disclosure.sanitise(docs).collect())
+    assert texts[600] == "it is     12, so : [EMAIL] on 345 no"
+    assert texts[5] == rows[5][1]
+    spans = {r["doc_id"]: r["spans"] for r in disclosure.find_personal_data(docs).collect()}
+    assert spans[600].split(",")[1:] == [
+        f"removed:{a}:{b}" for a, b in ((6, 8), (9, 11), (12, 14), (15, 18), (26, 31))
+    ]
+
+
 def test_sanitised_texts(spark, odd):
     docs = spark.createDataFrame(secret_documents(), "doc_id long, text string")
     texts = dict(disclosure.sanitise(docs).collect())
