@@ -5,7 +5,7 @@ import random
 import zlib
 
 import public_tokenizers
-from panelkit.llm import edit_counts, packing, queries, transducer
+from panelkit.llm import disclosure, edit_counts, packing, queries, transducer
 from panelkit.llm.common import table
 from tokenizers import Tokenizer
 
@@ -105,6 +105,25 @@ def test_edit_counts_of_odd_documents(odd, none, spark):
     assert edit_counts.count_with_edits(none.withColumn("edits", edits), BYTE).count() == 0
 
 
+def test_masks_of_overlapping_spans(spark, tmp_path):
+    texts = [
+        "a 10.0.0.1@host.com b", "+14155550100@x.com", "x +1 4111 1111 1111 1111@b.cd y",
+        "4111111111111111@b.cd and 10.0.0.1", "1.2.3.4.5.6.7.8@a.b, c@d.ef", "none", "", None,
+    ]
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = table(spark, tmp_path, "documents")
+    expected = dict(disclosure.sanitise(docs).collect())
+    marked = disclosure.with_spans(docs).select("doc_id", "text", queries._masks().alias("edits"))
+    n_edits = {r["doc_id"]: r["n_edits"] for r in queries.op2_token_counts(spark, tmp_path).collect()}
+    assert n_edits[0] == n_edits[1] == 1
+    for r in marked.collect():
+        text = r["text"]
+        for start, end, put in reversed(r["edits"]):
+            text = text[:start] + put + text[end:]
+        assert text == expected[r["doc_id"]] and n_edits[r["doc_id"]] == len(r["edits"])
+
+
 def check_packing(docs, pieces):
     """Every token in one piece, pieces gapless in their windows; returns the padding."""
     import numpy as np
