@@ -4,8 +4,8 @@ Each document keeps the places of its words and a segment tree over their token
 splitting rule reads from left to right and never looks back, and where a word ends depends on
 what follows up to the first character that is no space. So after an edit it is enough to split
 again from the last word before it that is not blank until a new word starts where an old one
-did; everything further right is as it was. The words in between are encoded again, and the
-sums above them are updated.
+did; everything further right is as it was. Only the words in between are encoded again. Their
+places and counts replace the old ones, so that further edits can follow.
 """
 
 from __future__ import annotations
@@ -38,15 +38,6 @@ class CountTree:
     def total(self) -> int:
         return int(self.levels[-1][0]) if len(self.levels[-1]) else 0
 
-    def replace(self, first: int, end: int, tokens: int) -> None:
-        """Words first..end-1 now have ``tokens`` together; only sums above them are redone."""
-        self.levels[0][first:end] = 0
-        self.levels[0][first] = tokens
-        for below, level in zip(self.levels, self.levels[1:], strict=False):
-            first, end = first // 2, (end + 1) // 2
-            part = below[2 * first : 2 * end]
-            level[first:end] = np.add.reduceat(part, np.arange(0, len(part), 2))
-
 
 class CountedText:
     """A text, the places of its words, and the tree of their counts."""
@@ -59,16 +50,17 @@ class CountedText:
         self.tree = CountTree(np.array([len(encoder.known[w]) for w in words], np.int64))
         self.encoded = 0
 
-    def _count(self, words: list[str]) -> int:
+    def _count(self, words: list[str]) -> np.ndarray:
         self.encoder.learn(set(words))
-        tokens = sum(len(self.encoder.known[w]) for w in words)
-        self.encoded += tokens
+        tokens = np.array([len(self.encoder.known[w]) for w in words], np.int64)
+        self.encoded += int(tokens.sum())
         return tokens
 
     def after(self, edits: list[tuple[int, int, str]]) -> int:
         """Token count after all edits (start, end, new text), which must not overlap.
 
-        Offsets are code points of the text as it was. The tree then holds the new counts.
+        Offsets are code points of the text as it was. Text, places and tree then are those of
+        the new text, and more edits may follow.
         """
         edits = sorted(edits)
         if not edits:
@@ -84,9 +76,11 @@ class CountedText:
         text = "".join([*new, self.text[at:]])
         if len(self.starts) == 1:  # there was no word
             words = self.encoder.bpe.byte_words(text)
-            self.tree = CountTree(np.array([self._count(words)], np.int64))
+            self.text, self.starts = text, [0, *accumulate(map(len, words))]
+            self.tree = CountTree(self._count(words))
             return self.tree.total
         starts = np.array(self.starts)
+        counts, places, tokens = self.tree.levels[0], [], []
         done, shift, n = 0, 0, 0
         while n < len(edits):
             inside = int(np.searchsorted(starts, edits[n][0], side="right")) - 1
@@ -112,11 +106,15 @@ class CountedText:
                     continue
                 old, kept, last = met
                 break
-            self.tree.replace(first, old, self._count(words[:kept]))
+            lengths = np.array([len(w) for w in words[:kept]], np.int64)
+            places += [starts[done:first] + shift, begin + np.cumsum(lengths) - lengths]
+            tokens += [counts[done:first], self._count(words[:kept])]
             done, shift, n = old, shifts[last], last + 1
             if old == len(starts) - 1:
                 break
         self.text = text
+        self.starts = np.concatenate([*places, starts[done:-1] + shift, [len(text)]]).tolist()
+        self.tree = CountTree(np.concatenate([*tokens, counts[done:]]))
         return self.tree.total
 
     def _blank(self, word: int) -> bool:

@@ -78,6 +78,28 @@ def test_counts_follow_edits():
         assert counted.after(edits) == count(edited), (text, edits)
 
 
+def test_edits_follow_edits():
+    encoder = transducer.Encoder(BYTE)
+    draw = random.Random(8)
+    for _ in range(500):
+        text = "".join(draw.choices(" ab'sS.\n1é日́<|>  \t!X", k=draw.randint(0, 60)))
+        counted = edit_counts.CountedText(encoder, text)
+        for _ in range(4):
+            at = sorted(draw.randint(0, len(text)) for _ in range(2 * draw.randint(0, 3)))
+            edits = sorted(
+                (a, b, "".join(draw.choices(" ab.\n's1", k=draw.randint(0, 5))))
+                for a, b in zip(at[::2], at[1::2], strict=True)
+            )
+            shift = 0
+            for a, b, put in edits:
+                text = text[: a + shift] + put + text[b + shift :]
+                shift += len(put) - (b - a)
+            fresh = edit_counts.CountedText(encoder, text)
+            assert counted.after(edits) == fresh.tree.total, (text, edits)
+            assert counted.text == text and counted.starts == fresh.starts
+            assert counted.tree.levels[0].tolist() == fresh.tree.levels[0].tolist()
+
+
 def test_an_edit_touches_few_words():
     encoder = transducer.Encoder(BYTE)
     text = "a few plain words, " * 5000
