@@ -337,7 +337,7 @@ def _doc_key():
 
 
 def _classified(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, node, class_id, class_size) of docs (doc_id, text, text_hash)."""
+    """(doc_id, text_hash, node, class_id, class_size, kept) of docs (doc_id, text, text_hash)."""
     signed = settle(_signed(docs))
     filled = signed.where(F.col("node").isNotNull())
     nodes = settle(
@@ -375,24 +375,35 @@ def _classified(docs: DataFrame) -> DataFrame:
     if not tied.isEmpty():
         links = settle(links.union(_bridges(tied, nodes, docs)))
         roots = settle(components(links))
-    # every class takes the smallest id of its documents
+    # every class takes the smallest id of its documents, and keeps one of them by id and text
     classes = nodes.join(roots, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root")
     )
     sized = filled.groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.count("*").alias("held")
+        F.min("doc_id").alias("least"),
+        F.count("*").alias("held"),
+        F.min(
+            F.struct(
+                F.col("doc_id").isNull().alias("lacks_id"),
+                _doc_key().alias("keep_key"),
+                F.col("text_hash").alias("keep_hash"),
+            )
+        ).alias("keeper"),
     )
     classes = settle(classes.join(sized, "node"))
     whole = classes.groupBy("root").agg(
         F.min("least").alias("class_id"),
         F.sum("held").alias("class_size"),
+        F.min("keeper").alias("first"),
     )
     named = classes.join(whole.where("class_size > 1"), "root").select(
-        "node", "class_id", "class_size"
+        "node", "class_id", "class_size", "first.keep_key", "first.keep_hash"
     )
-    return signed.select("doc_id", "text_hash", "node").join(
-        _small(settle(named), 64), "node", "left"
+    found = signed.select("doc_id", "text_hash", "node").join(
+        _small(settle(named), 80), "node", "left"
     )
+    same = (_doc_key() == F.col("keep_key")) & (F.col("text_hash") == F.col("keep_hash"))
+    return found.withColumn("kept", F.coalesce(same, F.lit(True))).drop("keep_key", "keep_hash")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -400,7 +411,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Documents of a class are linked, directly or through others, by shingle sets with a
     Jaccard similarity of 4/5 or more. ``class_id`` is the smallest id in the class, and that
-    document is kept (all its rows, if rows repeat its id). Texts without words (also NULL)
+    document is kept; of texts that share this id, or all lack one, the one with the smallest
+    hash. Rows that repeat both id and text are one document. Texts without words (also NULL)
     are alone. NULL ids count as the last; an empty table gives an empty one. Equal shingle
     sets are one node before any join, so copies cost nothing, and no pair of nodes is lost
     that shares a band: members meet the leader of the band, then members of bands that are still
@@ -413,15 +425,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id",
         class_id.alias("class_id"),
         F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
-        class_id.eqNullSafe(F.col("doc_id")).alias("kept"),
+        "kept",
     )
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` without the documents that ``near_duplicates`` does not keep."""
     own = documents(docs).withColumn("text_hash", F.xxhash64("text"))
-    found = _classified(own).where(F.col("class_size").isNotNull())
-    gone = found.where(~F.col("class_id").eqNullSafe(F.col("doc_id")))
+    gone = _classified(own).where(~F.col("kept"))
     gone = settle(
         gone.select(_doc_key().alias("__gone_key"), F.col("text_hash").alias("__gone_hash"))
         .distinct()

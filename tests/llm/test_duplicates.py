@@ -138,6 +138,22 @@ def test_groups_chains_and_shared_passages(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(found.values()))
 
 
+def test_one_document_stays_without_ids_or_with_one_id(spark):
+    draw = random.Random(9)
+    text = lambda: ["".join(draw.choices("abcdefgh", k=5)) for _ in range(120)]
+    rows = []
+    for ids in ([None] * 4, [7, 7, 7, 8], [None, 9, 9]):
+        words = text()
+        for n, i in enumerate(ids):
+            rows.append((i, " ".join([*words[:-1], f"end{'abcd'[n]}"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = dart_minhash.near_duplicates(docs).collect()
+    assert sorted(r["class_size"] for r in found) == [3] * 3 + [4] * 8
+    assert sorted(repr(r["doc_id"]) for r in found if r["kept"]) == ["7", "9", "None"]
+    kept = [r["doc_id"] for r in dart_minhash.drop_near_duplicates(docs).collect()]
+    assert sorted(map(repr, kept)) == ["7", "9", "None"]
+
+
 def test_near_duplicates_of_odd_documents(odd, none):
     rows = dart_minhash.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
