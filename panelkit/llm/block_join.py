@@ -25,11 +25,11 @@ QUERIES = 1024
 NEAREST = 20
 
 
-def usable(vectors: DataFrame) -> DataFrame:
+def usable(vectors: DataFrame, every_row: bool = False) -> DataFrame:
     """(vec_id, embedding) as doubles, without vectors that take no part.
 
     That is: NULL, empty or zero vectors, NULL or non-finite components, NULL ids. Of rows
-    that repeat an id, the smallest vector counts.
+    that repeat an id, the smallest vector counts, with ``every_row`` each of them.
     """
     numbers = F.col("embedding").cast("array<double>")
     finite = F.forall(
@@ -38,6 +38,8 @@ def usable(vectors: DataFrame) -> DataFrame:
     some = F.exists(numbers, lambda x: x != 0)
     kept = vectors.where(F.col("vec_id").isNotNull() & F.coalesce(finite & some, F.lit(False)))
     kept = kept.select(F.col("vec_id").cast("long").alias("vec_id"), numbers.alias("embedding"))
+    if every_row:
+        return kept
     return kept.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
@@ -102,19 +104,23 @@ def blocks(vectors: DataFrame, rows: int) -> DataFrame:
     return vectors.mapInArrow(run, BLOCK)
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = NEAREST) -> DataFrame:
+def nearest(
+    vectors: DataFrame, every: int = 20, k: int = NEAREST, every_row: bool = False
+) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest of each query, nearest first.
 
     Queries are the vectors of (vec_id, embedding) whose id is divisible by ``every``,
     candidates all others of the same dimension. ``score`` is the inner product in double
     precision; equal scores are ranked by the smaller id. With fewer candidates all are
     returned. Vectors that ``usable`` leaves out take no part; an empty table gives none.
+    With ``every_row``, rows that repeat an id are candidates each, and queries of one id share
+    its ``k`` places; a vector is never a neighbour of its own id.
 
     Blocks are joined, not rows: a tile task holds one block of each side. A query block is
     copied to every candidate block, as the search asks for; the result of a tile is at most
     ``k`` rows per query.
     """
-    kept = settle(usable(vectors))
+    kept = settle(usable(vectors, every_row))
     candidates = settle(blocks(kept, CANDIDATES))
     queries = settle(blocks(kept.where(F.col("vec_id") % every == 0), QUERIES))
     # the candidate blocks' names go along with every query block of their dimension

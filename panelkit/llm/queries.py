@@ -71,7 +71,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return block_join.nearest(table(spark, sf_dir, "embeddings"))
+    return block_join.nearest(table(spark, sf_dir, "embeddings"), every_row=True)
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

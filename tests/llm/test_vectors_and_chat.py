@@ -51,6 +51,28 @@ def test_odd_vectors(spark):
     assert block_join.nearest(vectors.where("false")).count() == 0
 
 
+def test_rows_that_repeat_an_id_all_count(spark, tmp_path):
+    draw = np.random.default_rng(1)
+    rows = [(n, draw.normal(size=8).tolist()) for n in range(60)]
+    rows += [(n % 45, draw.normal(size=8).tolist()) for n in range(120)]
+    rows += [(20, rows[20][1]), (7, rows[7][1])]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    data.write.parquet(f"{tmp_path}/embeddings.parquet")
+    expected = []
+    for q in (0, 20, 40):
+        scored = []
+        for i, v in rows:
+            for c, w in rows if i == q else ():
+                if c != q:
+                    score = 0.0
+                    for x, y in zip(v, w, strict=True):
+                        score += x * y
+                    scored.append((-score, c))
+        expected += [(q, n, c, -s) for n, (s, c) in enumerate(sorted(scored)[:20], 1)]
+    got = sorted(tuple(r) for r in queries.op4_nearest(spark, tmp_path).collect())
+    assert got == expected
+
+
 def test_bounds_hold():
     draw = np.random.default_rng(1)
     x = draw.normal(size=(200, 32))
