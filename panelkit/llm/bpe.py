@@ -14,6 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from .common import joined_ranges
+
 NO_RANK = np.int32(2**31 - 1)
 LONG_WORD = 48
 """Words of more symbols are merged one by one with a heap."""
@@ -120,25 +122,37 @@ class Bpe:
 
     def merge(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """Token ids of each word."""
-        out: list[tuple[int, ...]] = [()] * len(words)
-        by_width: dict[int, list[int]] = {}
-        for n, word in enumerate(words):
-            if len(word) > LONG_WORD:
-                out[n] = self._merge_long(word)
-            elif word:
-                by_width.setdefault(next(w for w in WIDTHS if w >= len(word)), []).append(n)
-        for width, rows in by_width.items():
-            raw = np.frombuffer(b"".join(words[n].ljust(width, b"\0") for n in rows), np.uint8)
-            lengths = np.array([len(words[n]) for n in rows])
-            symbols = self.first[raw.reshape(len(rows), width)]
-            symbols[np.arange(width) >= lengths[:, None]] = -1
-            each = np.arange(len(rows))
-            symbols[each, lengths - 1] = self.last[raw.reshape(len(rows), width)[each, lengths - 1]]
+        flat, counts = self.merge_flat(words)
+        ids, ends = flat.tolist(), np.cumsum(counts).tolist()
+        return [tuple(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+
+    def merge_flat(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all words, one word after another, and how many each has."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        counts = np.zeros(len(words), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
+            rows = np.flatnonzero((lengths > low) & (lengths <= width))
+            if not len(rows):
+                continue
+            padded = b"".join([words[n].ljust(width, b"\0") for n in rows.tolist()])
+            raw = np.frombuffer(padded, np.uint8).reshape(len(rows), width)
+            size, each = lengths[rows], np.arange(len(rows))
+            symbols = self.first[raw]
+            symbols[np.arange(width) >= size[:, None]] = -1
+            symbols[each, size - 1] = self.last[raw[each, size - 1]]
             merged = self._merge_block(symbols)
-            counts = (merged >= 0).sum(1).tolist()
-            for n, ids, count in zip(rows, merged.tolist(), counts, strict=True):
-                out[n] = tuple(ids[:count])
-        return out
+            counts[rows] = (merged >= 0).sum(1)
+            parts.append((rows, merged[merged >= 0]))
+        for n in np.flatnonzero(lengths > LONG_WORD).tolist():
+            ids = np.array(self._merge_long(words[n]), np.int32)
+            counts[n] = len(ids)
+            parts.append((np.array([n]), ids))
+        flat = np.empty(counts.sum(), np.int32)
+        at = np.cumsum(counts) - counts
+        for rows, ids in parts:
+            flat[joined_ranges(at[rows], counts[rows])] = ids
+        return flat, counts
 
     def _merge_block(self, symbols: np.ndarray) -> np.ndarray:
         """Merge words side by side: in each round every word does its best, leftmost merge.

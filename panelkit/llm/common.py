@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -124,3 +125,88 @@ def sample_per_class(df: DataFrame, label: str, key: str, rows: int) -> DataFram
     order = Window.partitionBy(label).orderBy(F.xxhash64(key), F.col(key))
     ranked = df.withColumn("__nth", F.row_number().over(order))
     return ranked.where(F.col("__nth") <= rows).drop("__nth")
+
+
+def joined_ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... (counts[0] numbers), starts[1], ... in one array."""
+    before = np.cumsum(counts) - counts
+    return np.repeat(starts - before, counts) + np.arange(counts.sum())
+
+
+class _Numbers(dict):
+    """Numbers of words in the order in which they are first asked for."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.fresh.append(word)
+        return n
+
+
+class RecentWords:
+    """What a worker knows of the words it met lately: any number of values for each.
+
+    ``learn`` gets words and returns their values, one word after another, and how many each
+    has. There are two generations. When the younger holds ``limit`` words it becomes the older,
+    and words met again move over, so frequent words stay known and twice ``limit`` words and
+    those of one call are held at most.
+    """
+
+    def __init__(
+        self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int
+    ) -> None:
+        self.learn, self.limit = learn, limit
+        self.values = learn([])[0]
+        self.now, self.before = self._nothing(), self._nothing()
+
+    def _nothing(self) -> tuple[_Numbers, np.ndarray, np.ndarray, np.ndarray]:
+        none = np.empty(0, np.int64)
+        return _Numbers(), none, none, self.values[:0]
+
+    def of(self, words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the values of all words of all lists begin in ``values``, and how many there are."""
+        if len(self.now[0]) > self.limit:
+            self.before, self.now = self.now, self._nothing()
+        numbers, starts, counts, values = self.now
+        total = sum(map(len, words))
+        each = np.fromiter(
+            map(numbers.__getitem__, chain.from_iterable(words)), np.int64, total
+        )
+        if fresh := numbers.fresh:
+            numbers.fresh = []
+            new_values, new_counts = self._fresh(fresh)
+            new_starts = len(values) + np.cumsum(new_counts) - new_counts
+            starts, counts = np.append(starts, new_starts), np.append(counts, new_counts)
+            values = np.concatenate([values, new_values])
+            self.now = (numbers, starts, counts, values)
+        self.values = values
+        return starts[each], counts[each]
+
+    def _fresh(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Values and counts of words that are new to the younger generation."""
+        numbers, starts, counts, values = self.before
+        get = numbers.get
+        old = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(old < 0)
+        learnt, learnt_counts = self.learn([words[n] for n in new.tolist()])
+        if len(new) == len(words):
+            return learnt, learnt_counts
+        again = np.flatnonzero(old >= 0)
+        out_counts = np.empty(len(words), np.int64)
+        out_counts[new], out_counts[again] = learnt_counts, counts[old[again]]
+        at = np.cumsum(out_counts) - out_counts
+        out = np.empty(out_counts.sum(), learnt.dtype)
+        out[joined_ranges(at[new], out_counts[new])] = learnt
+        out[joined_ranges(at[again], out_counts[again])] = values[
+            joined_ranges(starts[old[again]], out_counts[again])
+        ]
+        return out, out_counts
+
+
+def total_by(values: np.ndarray, lengths: Iterable[int]) -> np.ndarray:
+    """Sums of consecutive stretches of ``values``; an empty stretch has the sum 0."""
+    ends = np.cumsum(np.fromiter(lengths, np.int64))
+    summed = np.concatenate([[0], np.cumsum(values)])
+    return np.diff(summed[np.concatenate([[0], ends])])

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from . import bpe
-from .common import documents, text_slices, texts_of
+from .common import RecentWords, documents, joined_ranges, text_slices, texts_of, total_by
 from .transducer import KNOWN_WORDS
 
 WINDOW = 4096
@@ -45,47 +45,39 @@ class WordEncoder:
 
     def __init__(self, path: str) -> None:
         self.bpe = bpe.load(path)
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.words = RecentWords(
+            lambda new: self.bpe.merge_flat([w.encode() for w in new]), KNOWN_WORDS
+        )
+        self.pieces = RecentWords(self._by_library, KNOWN_WORDS)
         self.ends = np.zeros(self.bpe.size, bool)  # tokens that end a sentence
         for token, n in self.bpe.vocab.items():
             self.ends[n] = token.removesuffix(self.bpe.suffix).endswith((".", "!", "?", "ãĢĤ"))
 
-    def _known(self, known: dict, wanted: set[str], ids_of) -> None:
-        new = [w for w in wanted if w not in known]
-        if len(known) + len(new) > KNOWN_WORDS:
-            known.clear()
-            new = list(wanted)
-        known.update(zip(new, ids_of(new), strict=True))
+    def _by_library(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.bpe.library.encode_batch_fast(pieces, add_special_tokens=False)
+        ids = [e.ids for e in found]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, counts.sum()), counts
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         plain = [
             bpe.is_latin(t) and not any(s in t for s in self.bpe.special) for t in texts
         ]
-        cut = [
-            bpe.LOWER_WORDS.findall(t.lower()) if p else t.split(" ")
-            for t, p in zip(texts, plain, strict=True)
-        ]
-        self._known(
-            self.words,
-            {w for words, p in zip(cut, plain, strict=True) if p for w in words},
-            lambda new: self.bpe.merge([w.encode() for w in new]),
-        )
-        self._known(
-            self.pieces,
-            {w for words, p in zip(cut, plain, strict=True) if not p for w in words},
-            lambda new: [
-                tuple(e.ids)
-                for e in self.bpe.library.encode_batch_fast(new, add_special_tokens=False)
-            ],
-        )
-        return [
-            np.fromiter(
-                chain.from_iterable(map((self.words if p else self.pieces).__getitem__, words)),
-                np.int32,
-            )
-            for words, p in zip(cut, plain, strict=True)
-        ]
+        out = [np.empty(0, np.int32)] * len(texts)
+        for known, kind in ((self.words, True), (self.pieces, False)):
+            rows = [n for n, p in enumerate(plain) if p == kind]
+            if not rows:
+                continue
+            cut = [
+                bpe.LOWER_WORDS.findall(texts[n].lower()) if kind else texts[n].split(" ")
+                for n in rows
+            ]
+            starts, counts = known.of(cut)
+            ids = known.values[joined_ranges(starts, counts)]
+            ends = np.cumsum(total_by(counts, map(len, cut)))
+            for n, own in zip(rows, np.split(ids, ends[:-1]), strict=True):
+                out[n] = own
+        return out
 
 
 def cut_places(
