@@ -19,6 +19,7 @@ from . import (
     packing,
     quality,
     transducer,
+    turn_repair,
 )
 from .common import held_out, table
 
@@ -107,6 +108,12 @@ def op10_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.find_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with planted faults, and the cheapest edits that repair them."""
+    turns = table(spark, sf_dir, "conversations")
+    return turn_repair.audit_conversations(turns, turn_repair.damaged(turns))
+
+
 _RUNS = (
     op1_language_id,
     op2_token_counts,
@@ -118,6 +125,7 @@ _RUNS = (
     op8_near_duplicates,
     op9_personal_data,
     op10_exact_duplicates,
+    op11_conversation_repair,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _RUNS}
 
