@@ -1,10 +1,10 @@
 """A quality classifier on learned word and character n-gram vectors.
 
-Words, and the n-grams inside them, are hashed to rows of one table of vectors; a word that
-follows itself adds one more row, the same for all words. A text is the
-mean of the vectors of all its words and n-grams, and a softmax layer turns that into classes.
-Both are trained by plain stochastic gradient descent. With two classes the layer only needs
-one number per table row, so a worker scores a text by adding numbers of its distinct words.
+Words, the n-grams inside them, and pairs of words that follow each other are hashed to rows of
+one table of vectors. A text is the mean of the vectors of all of these, and a softmax layer turns
+that into classes. Both are trained by plain stochastic gradient descent. With two classes the
+layer only needs one number per table row, so a worker scores a text by adding numbers: those of
+a word with its n-grams are added once, those of pairs are looked up.
 """
 
 from __future__ import annotations
@@ -17,37 +17,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
+    RecentWords,
     documents,
     held_out,
+    joined_ranges,
     map_texts,
     mix64,
     powers,
     sample_per_class,
     text_slices,
     texts_of,
+    thinned,
 )
 from .transducer import KNOWN_WORDS
 
 BUCKETS = 1 << 16
 DIMENSIONS = 8
 GRAMS = (3, 4)
-TRAIN_ROWS = 1200
-"""Labelled texts per class that are learned from, at most."""
-TRAIN_CHARS = 40_000
-"""Longer labelled texts are not learned from, which bounds what the driver gets."""
+TRAIN_ROWS = 1000
+"""Labelled documents per class that are learned from, at most. Of each the driver gets BUCKETS
+numbers at most, however long its text is."""
 EPOCHS, BATCH, RATE = 4, 16, 0.5
-REPEAT = BUCKETS
-"""Table row of the word bigram whose words are equal."""
 LONG_WORD = 64
 """Of a longer word, n-grams are taken but not the word itself."""
+PAIR = np.uint64(0x9E3779B97F4A7C15)
 
+Features = tuple[np.ndarray, np.ndarray]  # table rows, and how often a text has each
 
-def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Table rows of all words, one after another, and how many each word has.
+
+def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Table rows of all words, one after another, how many each has, and a hash of each word.
 
     A word is marked at both ends, ``<word>``; its features are itself and its n-grams of
     GRAMS bytes.
     """
+    if not words:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
     raw = [b"<" + w.encode() + b">" for w in words]
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64) + np.uint64(1)
     lengths = np.array([len(r) for r in raw])
@@ -67,41 +72,60 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     place = np.arange(len(data)) - np.repeat(ends - lengths, lengths)
     short = np.flatnonzero(lengths <= LONG_WORD + 2)
     scaled = data * power[np.minimum(place, LONG_WORD + 2)]
-    whole = np.add.reduceat(scaled, ends - lengths) if len(raw) else scaled
-    buckets.append(mix64(whole[short] ^ np.uint64(0x5851F42D4C957F2D)))
+    whole = mix64(np.add.reduceat(scaled, ends - lengths) ^ np.uint64(0x5851F42D4C957F2D))
+    buckets.append(whole[short])
     owners.append(short)
     bucket = (np.concatenate(buckets) % np.uint64(BUCKETS)).astype(np.int64)
     at = np.concatenate(owners)
     order = np.argsort(at, kind="stable")
-    return bucket[order], np.bincount(at, minlength=len(raw))
+    return bucket[order], np.bincount(at, minlength=len(raw)), whole
+
 
+def pair_rows(hashes: np.ndarray) -> np.ndarray:
+    """Table rows of the pairs of words that follow each other."""
+    mixed = mix64(hashes[:-1] * PAIR + hashes[1:])
+    return (mixed % np.uint64(BUCKETS)).astype(np.int64)
 
-def repeats(words: list[str]) -> int:
-    """How often a word follows itself."""
-    return sum(map(str.__eq__, words, words[1:]))
+
+def text_features(text: str) -> Features:
+    """Table rows of a whole text and their numbers; BUCKETS of them at most."""
+    words = text.split()
+    number: dict[str, int] = {}
+    each = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
+    rows, counts, hashes = word_features(list(number))
+    total = np.zeros(BUCKETS, np.int64)
+    if len(words):
+        times = np.bincount(each, minlength=len(number))
+        total += np.bincount(rows, np.repeat(times, counts), BUCKETS).astype(np.int64)
+        total += np.bincount(pair_rows(hashes[each]), minlength=BUCKETS)
+    found = np.flatnonzero(total)
+    return found, total[found]
 
 
 class QualityModel:
-    """Vectors, softmax weights, and the difference of the two classes per table row."""
+    """Vectors and softmax weights, as the difference of the two classes per table row."""
 
     def __init__(self, vectors: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> None:
         self.per_row = (vectors @ (weights[:, 1] - weights[:, 0])).astype(np.float32)
         self.bias = float(bias[1] - bias[0])
 
-    def word_scores(self, words: list[str]) -> list[tuple[float, int]]:
-        """Sum over the features of each word, and their number."""
-        if not words:
-            return []
-        rows, counts = word_features(words)
+    def word_sums(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For each word the sum over its features, their number, and its hash."""
+        rows, counts, hashes = word_features(words)
+        out = np.empty(len(words), WORD)
         owner = np.repeat(np.arange(len(words)), counts)
-        sums = np.bincount(owner, self.per_row[rows], minlength=len(words))
-        return list(zip(sums.tolist(), counts.tolist(), strict=True))
+        out["sum"] = np.bincount(owner, self.per_row[rows], minlength=len(words))
+        out["count"], out["hash"] = counts, hashes
+        return out, np.ones(len(words), np.int64)
+
 
+WORD = np.dtype([("sum", np.float64), ("count", np.int64), ("hash", np.uint64)])
 
-def fit(texts: list[str], labels: list[int], seed: int = 0) -> QualityModel:
+
+def fit(docs: list[Features], labels: list[int], seed: int = 0) -> QualityModel:
     """Stochastic gradient descent on small batches; all classes are drawn equally often."""
     random = np.random.default_rng(seed)
-    vectors = random.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS + 1, DIMENSIONS))
+    vectors = random.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
     vectors = vectors.astype(np.float32)
     weights, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2)
     label = np.array(labels, int)
@@ -109,16 +133,11 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> QualityModel:
         if labels:
             bias[label[0]] = 4.0
         return QualityModel(vectors, weights, bias)
-    number: dict[str, int] = {}
-    docs = []
-    for text in texts:
-        cut = text.split()
-        words = [number.setdefault(w, len(number)) + 1 for w in cut]
-        words += [0] * repeats(cut)
-        docs.append(np.unique(words, return_counts=True) if words else (np.empty(0, int),) * 2)
-    rows, counts = word_features(list(number))
-    rows, counts = np.append(REPEAT, rows), np.append(1, counts)  # number 0 is the repeat
-    starts = np.concatenate([[0], np.cumsum(counts)])
+    sizes = np.array([len(rows) for rows, _ in docs])
+    starts = np.cumsum(sizes) - sizes
+    all_rows = np.concatenate([rows for rows, _ in docs]).astype(np.int64)
+    all_shares = np.concatenate([times / max(times.sum(), 1) for _, times in docs])
+    all_shares = all_shares.astype(np.float32)
     classes = [np.flatnonzero(label == c) for c in (0, 1)]
     size = max(len(c) for c in classes)
     steps, total = 0, EPOCHS * -(-2 * size // BATCH)
@@ -127,24 +146,15 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> QualityModel:
         for batch in np.array_split(random.permutation(drawn), -(-2 * size // BATCH)):
             rate = RATE * (1 - steps / total)
             steps += 1
-            # (document, word, times) -> (document, feature, times)
-            doc = np.repeat(np.arange(len(batch)), [len(docs[d][0]) for d in batch])
-            word = np.concatenate([docs[d][0] for d in batch])
-            times = np.concatenate([docs[d][1] for d in batch])
-            each = counts[word]
-            inside = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-            row = rows[np.repeat(starts[word], each) + inside]
-            doc, times = np.repeat(doc, each), np.repeat(times, each).astype(float)
-            norm = np.maximum(np.bincount(doc, times, minlength=len(batch)), 1)
-            share = (times / norm[doc]).astype(np.float32)
-            # equal (document, feature) pairs are added up before the vectors are touched
-            key, back = np.unique(doc * (BUCKETS + 1) + row, return_inverse=True)
-            share = np.bincount(back, share).astype(np.float32)
-            doc, row = key // (BUCKETS + 1), key % (BUCKETS + 1)
-            begin = np.searchsorted(doc, np.arange(len(batch)))
+            at = joined_ranges(starts[batch], sizes[batch])
+            row, share = all_rows[at], all_shares[at]
+            doc = np.repeat(np.arange(len(batch)), sizes[batch])
+            scaled = vectors[row] * share[:, None]
             hidden = np.zeros((len(batch), DIMENSIONS), np.float32)
-            filled = np.flatnonzero(np.diff(np.append(begin, len(doc))))
-            hidden[filled] = np.add.reduceat(vectors[row] * share[:, None], begin[filled], axis=0)
+            filled = np.flatnonzero(sizes[batch])
+            if len(filled):
+                begin = np.cumsum(sizes[batch]) - sizes[batch]
+                hidden[filled] = np.add.reduceat(scaled, begin[filled], axis=0)
             logits = hidden @ weights + bias
             chance = np.exp(logits - logits.max(1, keepdims=True))
             chance /= chance.sum(1, keepdims=True)
@@ -163,10 +173,12 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> QualityModel:
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> QualityModel:
-    """Learn ``quality`` of (doc_id, quality) from at most ``rows`` texts of each class.
+    """Learn ``quality`` of (doc_id, quality) from at most ``rows`` documents of each class.
 
-    Held-out documents, NULLs, values other than 0 and 1 and texts longer than TRAIN_CHARS are
-    not learned from. Without labels of both classes the score is a constant.
+    Held-out documents, NULLs and values other than 0 and 1 are not learned from. The labels are
+    thinned by class before any are ranked, and only then meet the documents; executors make the
+    features of whole texts. Of labels or documents that repeat an id the least counts. Without
+    labels of both classes the score is a constant.
     """
     marks = (
         labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int"))
@@ -174,15 +186,31 @@ def train_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
     )
-    marks = sample_per_class(marks, "quality", "doc_id", 2 * rows)
-    usable = documents(docs).where(
-        F.col("doc_id").isNotNull() & ~held_out() & (F.length("text") <= TRAIN_CHARS)
-    )
-    # marks has 4 * rows rows at most, so it is broadcast
-    joined = usable.join(F.broadcast(marks), "doc_id")
-    found = sample_per_class(joined, "quality", "doc_id", rows).collect()
-    found.sort(key=lambda r: (r["doc_id"], r["text"]))
-    return fit([r["text"] for r in found], [r["quality"] for r in found])
+    marks = sample_per_class(thinned(marks, "quality", "doc_id", rows), "quality", "doc_id", rows)
+    # marks has 2 * rows rows at most, so it is broadcast
+    chosen = documents(docs).join(F.broadcast(marks), "doc_id").select("doc_id", "text", "quality")
+
+    def make():
+        def step(part: pa.RecordBatch) -> dict:
+            found = [text_features(t) for t in texts_of(part)]
+            return {
+                "doc_id": part.column("doc_id"),
+                "quality": part.column("quality"),
+                "rows": [f[0].astype(np.uint16).tobytes() for f in found],
+                "times": [f[1].astype(np.uint32).tobytes() for f in found],
+            }
+
+        return step
+
+    made = map_texts(chosen, make, "doc_id long, quality int, rows binary, times binary")
+    least = made.groupBy("doc_id", "quality").agg(F.min(F.struct("rows", "times")).alias("least"))
+    found = least.select("doc_id", "quality", "least.*").collect()
+    found.sort(key=lambda r: r["doc_id"])
+    texts = [
+        (np.frombuffer(r["rows"], np.uint16).astype(np.int64), np.frombuffer(r["times"], np.uint32))
+        for r in found
+    ]
+    return fit(texts, [r["quality"] for r in found])
 
 
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
@@ -211,7 +239,12 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """Rows of ``docs`` with a score of 0.5 or more, with all their columns and no join."""
+    """Rows of ``docs`` with a score of 0.5 or more, with all their columns and no join.
+
+    Each row is judged by its own text, so repeated rows stay or go together, there are no ties,
+    and a NULL or empty text, which has the score of the bias alone, goes if that is below 0.5.
+    An empty table stays empty.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,25 +257,24 @@ def keep_good(docs: DataFrame, model: QualityModel) -> DataFrame:
 
 
 class Scorer:
-    """Scores texts; remembers the scores of words."""
+    """Scores texts; remembers the sums of the words it met lately."""
 
     def __init__(self, model: QualityModel) -> None:
         self.model = model
-        self.sums: dict[str, float] = {}
-        self.counts: dict[str, int] = {}
+        self.words = RecentWords(model.word_sums, KNOWN_WORDS)
 
     def scores(self, texts: list[str]) -> np.ndarray:
         cut = [t.split() for t in texts]
-        wanted = {w for words in cut for w in words}
-        new = [w for w in wanted if w not in self.sums]
-        if len(self.sums) + len(new) > KNOWN_WORDS:
-            self.sums, self.counts, new = {}, {}, list(wanted)
-        for word, (total, count) in zip(new, self.model.word_scores(new), strict=True):
-            self.sums[word], self.counts[word] = total, count
-        total = np.array([sum(map(self.sums.__getitem__, words)) for words in cut], float)
-        count = np.array([sum(map(self.counts.__getitem__, words)) for words in cut], float)
-        again = np.array([repeats(words) for words in cut], float)
-        total += again * self.model.per_row[REPEAT]
-        count += again
+        starts, _ = self.words.of(cut)
+        known = self.words.values[starts]
+        owner = np.repeat(np.arange(len(texts)), [len(words) for words in cut])
+        # sums run text by text, so a score does not depend on the texts beside it
+        total = np.bincount(owner, known["sum"], minlength=len(texts))
+        count = np.bincount(owner, known["count"], minlength=len(texts))
+        if len(known) > 1:
+            inside = owner[1:] == owner[:-1]
+            pairs = self.model.per_row[pair_rows(known["hash"])[inside]]
+            total += np.bincount(owner[1:][inside], pairs, minlength=len(texts))
+            count += np.bincount(owner[1:][inside], minlength=len(texts))
         logit = total / np.maximum(count, 1) + self.model.bias
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))

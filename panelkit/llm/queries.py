@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, with SQL where SQL can say the same."""
+"""The operators as queries over whole tables, with SQL where SQL can say the same."""
 
 from __future__ import annotations
 
@@ -13,8 +13,10 @@ from . import (
     chat,
     cuckoo,
     dart_minhash,
+    decision_list,
     disclosure,
     edit_counts,
+    gram_index,
     langid,
     packing,
     quality,
@@ -114,6 +116,15 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.audit_conversations(turns, turn_repair.damaged(turns))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gram_index.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return decision_list.judge(docs, decision_list.train_rules(docs, labels))
+
+
 _RUNS = (
     op1_language_id,
     op2_token_counts,
@@ -126,6 +137,8 @@ _RUNS = (
     op9_personal_data,
     op10_exact_duplicates,
     op11_conversation_repair,
+    op12_spelling_variants,
+    op13_quality_rules,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _RUNS}
 

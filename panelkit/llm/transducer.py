@@ -25,7 +25,15 @@ from pyspark.sql import functions as F
 from panelkit.operators.staging import scratch_path, settle
 
 from . import bpe
-from .common import documents, map_texts, text_slices, texts_of
+from .common import (
+    RecentWords,
+    documents,
+    joined_ranges,
+    map_texts,
+    text_slices,
+    texts_of,
+    total_by,
+)
 
 LEXICON_WORDS = 1 << 16
 """Words in the automaton. It bounds what the driver compiles and every executor maps."""
@@ -113,10 +121,10 @@ class Lexicon:
         root, self.keys, self.targets, self.skips, self.final, self.starts, self.ids = parts
         self.root = int(root[0])
 
-    def find(self, words: list[bytes]) -> list[tuple[int, ...] | None]:
-        """Token ids of each word, None if the lexicon lacks it. All words walk side by side."""
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word, -1 if the lexicon lacks it. All words walk side by side."""
         if not len(self.keys) or not words:
-            return [None] * len(words)
+            return np.full(len(words), -1, np.int64)
         lengths = np.array([len(w) for w in words])
         width = min(int(lengths.max()), LEXICON_WORD_BYTES)
         padded = np.frombuffer(
@@ -135,9 +143,13 @@ class Lexicon:
             state[rows] = self.targets[at]
             number[rows] += self.skips[at]
         alive &= self.final[state] == 1
+        return np.where(alive, number, -1)
+
+    def find(self, words: list[bytes]) -> list[tuple[int, ...] | None]:
+        """Token ids of each word, None if the lexicon lacks it."""
         return [
-            tuple(self.ids[self.starts[n] : self.starts[n + 1]].tolist()) if ok else None
-            for ok, n in zip(alive.tolist(), number.tolist(), strict=True)
+            tuple(self.ids[self.starts[n] : self.starts[n + 1]].tolist()) if n >= 0 else None
+            for n in self.numbers(words).tolist()
         ]
 
 
@@ -223,6 +235,7 @@ class Encoder:
     def __init__(self, path: str, lexicon: Lexicon | None = None) -> None:
         self.bpe, self.lexicon = bpe.load(path), lexicon
         self.known: dict[str, tuple[int, ...]] = {}
+        self.recent = RecentWords(self._flat, KNOWN_WORDS)
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
@@ -245,13 +258,38 @@ class Encoder:
             out.extend([part] if n % 2 else self.bpe.byte_words(part))
         return out
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def _flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, one word after another, and how many each has."""
+        raw = [w.encode() for w in words]
+        number = self.lexicon.numbers(raw) if self.lexicon else np.full(len(raw), -1, np.int64)
+        special = [n for n, w in enumerate(words) if w in self.bpe.special]
+        number[special] = -1
+        held, rest = np.flatnonzero(number >= 0), np.flatnonzero(number < 0)
+        merged, counts_of_rest = self.bpe.merge_flat([raw[n] for n in rest.tolist()])
+        counts = np.zeros(len(words), np.int64)
+        counts[rest] = counts_of_rest
+        if len(held):
+            begin = self.lexicon.starts[number[held]]
+            counts[held] = self.lexicon.starts[number[held] + 1] - begin
+        at = np.cumsum(counts) - counts
+        out = np.empty(counts.sum(), np.int32)
+        out[joined_ranges(at[rest], counts[rest])] = merged
+        if len(held):
+            ids = self.lexicon.ids[joined_ranges(begin, counts[held])]
+            out[joined_ranges(at[held], counts[held])] = ids
+        if special:  # a special token is one id, whatever it would be merged to
+            out[at[special]] = [self.bpe.special[words[n]] for n in special]
+            keep = np.ones(len(out), bool)
+            keep[joined_ranges(at[special] + 1, counts[special] - 1)] = False
+            out, counts[special] = out[keep], 1
+        return out, counts
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.words(t) for t in texts]
-        self.learn({w for words in cut for w in words if w not in self.bpe.special})
-        known = {**self.known, **{t: (i,) for t, i in self.bpe.special.items()}} if any(
-            t in text for text in texts for t in self.bpe.special
-        ) else self.known
-        return [list(chain.from_iterable(map(known.__getitem__, words))) for words in cut]
+        starts, counts = self.recent.of(cut)
+        ids = self.recent.values[joined_ranges(starts, counts)]
+        ends = np.cumsum(total_by(counts, map(len, cut)))
+        return np.split(ids, ends[:-1])
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no text become replacement characters."""
@@ -282,15 +320,16 @@ def digest_documents(docs: DataFrame, path: str, lexicon: str | None = None) ->
 def _encoding(path: str, lexicon: str, digests: bool):
     def make():
         encoder = Encoder(path, Lexicon(os.path.join(SparkFiles.getRootDirectory(), lexicon)))
+        written = [str(n) for n in range(encoder.bpe.size)]
 
         def step(part: pa.RecordBatch) -> dict:
-            ids = encoder.encode(texts_of(part))
+            ids = [own.tolist() for own in encoder.encode(texts_of(part))]
             columns = {"doc_id": part.column("doc_id")}
             if not digests:
                 return columns | {"ids": ids, "text": [encoder.decode(i) for i in ids]}
             return columns | {
                 "n_tokens": [len(i) for i in ids],
-                "ids_sha256": [sha256(",".join(map(str, i))) for i in ids],
+                "ids_sha256": [sha256(",".join(map(written.__getitem__, i))) for i in ids],
                 "decoded_sha256": [sha256(encoder.decode(i)) for i in ids],
             }
 

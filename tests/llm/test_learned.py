@@ -71,7 +71,8 @@ def test_labels_of_held_out_documents_are_not_read(spark):
 
 
 def test_quality_of_odd_documents(spark, odd, none):
-    model = quality.fit(["good plain text", "bad bad bad $$$"] * 20, [1, 0] * 20)
+    texts = ["good plain text", "bad bad bad $$$"] * 20
+    model = quality.fit([quality.text_features(t) for t in texts], [1, 0] * 20)
     rows = quality.score_quality(odd, model).collect()
     assert len(rows) == odd.count() and all(0 <= r["score"] <= 1 for r in rows)
     assert len({r["score"] for r in rows if r["doc_id"] in (3, 4, 5)}) == 1
@@ -93,3 +94,113 @@ def test_thinned_rows_hold_the_whole_sample(spark):
     whole, part = (common.sample_per_class(x, "lang", "doc_id", 50) for x in (df, few))
     assert sorted(whole.collect()) == sorted(part.collect()) and part.count() == 100
     assert common.thinned(df.limit(0), "lang", "doc_id", 50).count() == 0
+
+
+def hashed(data):
+    """The scrambler and the word hash once more, on Python's own numbers."""
+    x = data % 2**64
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 % 2**64
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB % 2**64
+    return x ^ x >> 31
+
+
+def plain_features(text):
+    """Table rows of words, n-grams and pairs of a text by plain loops."""
+    found, hashes = [], []
+    for word in text.split():
+        raw = [b + 1 for b in b"<" + word.encode() + b">"]
+        for n in quality.GRAMS:
+            for at in range(len(raw) - n + 1):
+                gram = n
+                for b in raw[at : at + n]:
+                    gram = (gram * 257 + b) % 2**64
+                found.append(hashed(gram))
+        whole = sum(b * pow(0x100000001B3, min(i, quality.LONG_WORD + 2), 2**64) for i, b in enumerate(raw))
+        hashes.append(hashed(whole % 2**64 ^ 0x5851F42D4C957F2D))
+        if len(raw) <= quality.LONG_WORD + 2:
+            found.append(hashes[-1])
+    found += [hashed((a * int(quality.PAIR) + b) % 2**64) for a, b in zip(hashes, hashes[1:])]
+    return [f % quality.BUCKETS for f in found]
+
+
+def test_scores_equal_the_softmax_of_mean_vectors(monkeypatch):
+    draw = np.random.default_rng(1)
+    vectors = draw.normal(size=(quality.BUCKETS, quality.DIMENSIONS)).astype(np.float32)
+    weights = draw.normal(size=(quality.DIMENSIONS, 2)).astype(np.float32)
+    bias = draw.normal(size=2)
+    model = quality.QualityModel(vectors, weights, bias)
+    monkeypatch.setattr(quality, "KNOWN_WORDS", 3)  # words are forgotten and met again
+    texts = ["a", "", "the the the end", "Das ist ein Haus, das ist ein Baum.", "é" * 90 + " x", "  "] * 3
+    texts += [" ".join(draw.choice(["one", "two", "three", "four", "five"], 30)) for _ in range(5)]
+    scorer = quality.Scorer(model)
+    for at in range(0, len(texts), 4):
+        for text, score in zip(texts[at : at + 4], scorer.scores(texts[at : at + 4]).tolist()):
+            rows = plain_features(text)
+            expected, times = np.unique(rows, return_counts=True)
+            got = quality.text_features(text)
+            assert got[0].tolist() == expected.tolist() and got[1].tolist() == times.tolist()
+            hidden = vectors[rows].mean(0) if rows else np.zeros(quality.DIMENSIONS)
+            logits = hidden @ weights + bias
+            assert np.isclose(score, 1 / (1 + np.exp(logits[0] - logits[1])), atol=1e-5)
+
+
+def test_word_order_matters():
+    texts = ["up down up down", "up up down down"] * 30
+    model = quality.fit([quality.text_features(t) for t in texts], [1, 0] * 30)
+    good, bad = quality.Scorer(model).scores(texts[:2])
+    assert good > 0.5 > bad
+
+
+def test_labels_are_thinned_before_they_are_ranked(spark):
+    """However many labels or rows of an id there are, the ranked rows and the sample are bounded."""
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    docs = docs.unionByName(docs.where("doc_id < 9").crossJoin(spark.range(300).drop("id")))
+    labels = spark.range(30_000).selectExpr("id AS doc_id", "CAST(id % 5 = 0 AS int) AS quality")
+    model = quality.train_quality(docs, labels, rows=40)
+    assert model.per_row.shape == (quality.BUCKETS,)
+    marks = labels.where(~held_out())
+    few = common.thinned(marks, "quality", "doc_id", 40)
+    assert few.count() < 500
+    ranked = common.sample_per_class(few, "quality", "doc_id", quality.TRAIN_ROWS)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_predictions_equal_plain_loops(spark):
+    """Profiles and machines of language identification against loops over the same weights."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    model = langid.train_languages(docs)
+    texts = [r["text"] for r in docs.select("text").limit(40).collect()]
+    x = langid.profiles(texts)
+    names, _ = model.predict(x)
+    for text, row, name in zip(texts, x, names):
+        counts = {}
+        data = [c if c >= 128 or chr(c).isalpha() else 32 for c in text.lower().encode()] + [32]
+        for n in range(1, 5):
+            for at in range(len(data) - n + 1):
+                gram = data[at : at + n]
+                if gram != [32] * n:
+                    key = 0
+                    for c in gram:
+                        key = key * 256 + c
+                    bucket = hashed(key) % langid.FEATURES
+                    counts[bucket] = counts.get(bucket, 0) + 1
+        norm = sum(counts.values()) ** 0.5
+        profile = np.zeros(langid.FEATURES + 1)
+        for bucket, n in counts.items():
+            profile[bucket] = n**0.5 / norm
+        assert np.allclose(profile[:-1], row, atol=1e-4)
+        profile[-1] = 1
+        family = max(range(len(model.families)),
+                     key=lambda f: profile @ model.family_weights[f] if model.family_weights else 0)
+        votes = {}
+        for a in model.families[family]:
+            votes[a] = 0
+            for b in model.families[family]:
+                if a != b:
+                    low, high = sorted((a, b))
+                    margin = profile @ model.pairs[low, high]
+                    votes[a] += (margin >= 0) if a == low else (margin < 0)
+        assert votes[model.languages.index(name)] == max(votes.values())
