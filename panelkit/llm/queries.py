@@ -18,6 +18,7 @@ from . import (
     edit_counts,
     gram_index,
     langid,
+    oracles,
     packing,
     quality,
     transducer,
@@ -203,4 +204,6 @@ ORACLE_SQL: dict[str, str] = {
             count(*) OVER (PARTITION BY text_sha256) AS group_size
           FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id))
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k""",
+    "op11_conversation_repair": oracles.CONVERSATION_REPAIR,
+    "op12_spelling_variants": oracles.SPELLING_VARIANTS,
 }

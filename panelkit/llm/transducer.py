@@ -41,7 +41,7 @@ LEXICON_WORD_BYTES = 32
 COUNTED_WORDS = 200_000
 """Distinct words that a task holds while it counts; it passes those seen twice on and restarts."""
 KNOWN_WORDS = 150_000
-"""Distinct words that a Python worker remembers before it starts afresh."""
+"""Distinct words that a Python worker remembers in each of two generations."""
 
 # ---- the automaton -------------------------------------------------------------------------
 
@@ -234,20 +234,11 @@ class Encoder:
 
     def __init__(self, path: str, lexicon: Lexicon | None = None) -> None:
         self.bpe, self.lexicon = bpe.load(path), lexicon
-        self.known: dict[str, tuple[int, ...]] = {}
         self.recent = RecentWords(self._flat, KNOWN_WORDS)
 
-    def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = list(words)
-        raw = [w.encode() for w in new]
-        found = self.lexicon.find(raw) if self.lexicon else [None] * len(raw)
-        missing = [n for n, ids in enumerate(found) if ids is None]
-        for n, ids in zip(missing, self.bpe.merge([raw[n] for n in missing]), strict=True):
-            found[n] = ids
-        self.known.update(zip(new, found, strict=True))
+    def counts(self, words: list[list[str]]) -> np.ndarray:
+        """How many tokens each word of each list has."""
+        return self.recent.of(words)[1]
 
     def words(self, text: str) -> list[str]:
         """Words of a text; a special token that it spells is a word of its own."""
