@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -142,7 +145,7 @@ DIAMONDS = """points AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x
 )
 def geo_point_in_polygon(spark, sf_dir):
     """Vectors that lie in the diamond of any label, each once."""
-    points = op.point_columns(vector_points(spark, sf_dir))
+    points = vector_points(spark, sf_dir)
     return op.keep_inside(points, label_diamonds(spark, sf_dir), "area", cell=0.05)
 
 
@@ -180,7 +183,7 @@ def geo_left_join_count(spark, sf_dir):
 def geo_overlapping_areas(spark, sf_dir):
     """Incidents per nation area, edges included; far areas count 0."""
     counted = op.count_in_polygons(
-        nation_areas(spark, sf_dir), op.point_columns(line_incidents(spark, sf_dir)), "area_id",
+        nation_areas(spark, sf_dir), line_incidents(spark, sf_dir), "area_id",
         {"events": op.measure_rows()}, cell=2.0,
     )
     return counted.select("area_id", "iso3", "region", "events")
@@ -202,7 +205,7 @@ def geo_left_join_rows(spark, sf_dir):
         F.col("c_nationkey").cast("double").alias("latitude"),
     )
     joined = op.spatial_left_join(
-        nation_areas(spark, sf_dir), op.point_columns(places), "area_id",
+        nation_areas(spark, sf_dir), places, "area_id",
         cell=5.0, carry=["area_id", "iso3"],
     )
     return joined.select("area_id", "iso3", "c_custkey")
@@ -256,7 +259,69 @@ def geo_repeated_ids(spark, sf_dir):
         "shared", F.when(F.col("region") < 3, F.col("region"))
     )
     counted = op.count_in_polygons(
-        areas, op.point_columns(line_incidents(spark, sf_dir)), "shared",
+        areas, line_incidents(spark, sf_dir), "shared",
         {"events": op.measure_rows()}, cell=2.0,
     )
     return counted.select("area_id", "shared", "events")
+
+
+def _checked(run) -> str:
+    """What a spatial job does with its points: a number of rows, or the reason it failed for."""
+    try:
+        return f"rows: {run().count()}"
+    except PySparkException as error:
+        found = re.search("bad coordinates", str(error))
+        if not found:
+            raise
+        return found.group()
+
+
+@register(
+    QUERIES,
+    f"""WITH {AREAS}, flagged AS (
+      SELECT l_returnflag AS flag, l_extendedprice / 1000 AS x,
+        CASE WHEN l_returnflag <> 'N' THEN l_discount * 500 END AS y FROM lineitem),
+    points AS (SELECT flag, CASE WHEN flag = 'R' AND x > 60 THEN x + 200 ELSE x END AS x, y
+      FROM flagged),
+    judged AS (SELECT flag, bool_or(x IS NULL OR y IS NULL OR x > 180) AS wrong
+      FROM points GROUP BY flag),
+    places AS (SELECT x, y, count(*) AS n FROM points WHERE flag = 'A' GROUP BY ALL),
+    hits AS ({covered("places", "edges", "area_id")}),
+    kept AS (SELECT coalesce(sum(n), 0)::BIGINT AS n FROM places p
+      WHERE EXISTS (SELECT 1 FROM hits h WHERE h.x = p.x AND h.y = p.y)),
+    pairs AS (SELECT count(*) + (SELECT count(*) FROM areas a
+        WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.area_id = a.area_id)) AS n
+      FROM hits h JOIN points p ON p.flag = 'A' AND p.x = h.x AND p.y = h.y),
+    jobs AS (SELECT 'keep_inside' AS job, (SELECT n FROM kept) AS n, 0 AS n_none
+      UNION ALL SELECT 'count_in_polygons', (SELECT count(*) FROM areas), 0
+      UNION ALL SELECT 'spatial_left_join', (SELECT n FROM pairs), 0)
+    SELECT flag, job, areas AS polygons, CASE WHEN wrong THEN 'bad coordinates'
+        ELSE 'rows: ' || CASE WHEN areas = 'none' THEN n_none ELSE n END END AS outcome
+    FROM judged CROSS JOIN jobs CROSS JOIN (SELECT unnest(['nations', 'none']) AS areas)""",
+)
+def geo_bad_points_reported(spark, sf_dir):
+    """Stored points by return flag: sound ones are counted, a missing or far one fails each job.
+
+    The points of N have no latitude, those of R a longitude beyond 180 where the price is high.
+    """
+    x, flag = F.col("l_extendedprice") / 1000, F.col("l_returnflag")
+    points = table(spark, sf_dir, "lineitem").select(
+        flag.alias("flag"),
+        F.when((flag == "R") & (x > 60), x + 200).otherwise(x).alias("longitude"),
+        F.when(flag != "N", F.col("l_discount") * 500).alias("latitude"),
+    )
+    stored, areas = op.settle(points), op.settle(nation_areas(spark, sf_dir))
+    number = {"events": op.measure_rows()}
+    found = []
+    for flag in sorted(r[0] for r in stored.select("flag").distinct().collect()):
+        part = stored.where(F.col("flag") == flag).drop("flag")
+        for name, shapes in (("nations", areas), ("none", areas.where("area_id < 0"))):
+            jobs = {
+                "keep_inside": lambda: op.keep_inside(part, shapes, "area_id", cell=5.0),
+                "count_in_polygons": lambda: op.count_in_polygons(
+                    shapes, part, "area_id", number, cell=5.0),
+                "spatial_left_join": lambda: op.spatial_left_join(
+                    shapes, part, "area_id", cell=5.0, carry=["area_id"]),
+            }
+            found += [(flag, job, name, _checked(run)) for job, run in jobs.items()]
+    return spark.createDataFrame(found, "flag string, job string, polygons string, outcome string")

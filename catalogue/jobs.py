@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from panelkit import functions as pf
 from panelkit import operators as op
+from panelkit import sources as src
 from panelkit import plans
 
 from .common import CODED_ORDERS, CODES, Query, country_codes, money, orders_by_nation, register
@@ -420,6 +421,38 @@ def cmp_polygon_enrich(spark, sf_dir):
     )
 
 
+@register(
+    QUERIES,
+    f"""WITH {AREAS}, {INCIDENTS}, {SEVERITY}, of_year AS (
+      SELECT * FROM incidents WHERE year = 1999),
+    hits AS ({covered("of_year", "edges", "area_id")}),
+    counts AS (SELECT area_id, count(best) AS conflict_events
+      FROM of_year i JOIN hits h ON h.x = i.x AND h.y = i.y GROUP BY area_id)
+    SELECT a.area_id, inform_class, coalesce(conflict_events, 0) AS conflict_events,
+      e.x1, e.y1, e.x2, e.y2, 'MULTIPOLYGON (((' || a.x || ' 0.0, ' || (a.x + 6) || ' 0.0, '
+        || (a.x + 6) || ' 40.0, ' || (a.x + 3) || ' 20.0, ' || a.x || ' 40.0, ' || a.x
+        || ' 0.0)))' AS wkt
+    FROM areas a JOIN edges e ON a.area_id = e.area_id
+    LEFT JOIN severity s ON a.iso3 IS NOT DISTINCT FROM s.iso3
+    LEFT JOIN counts c ON a.area_id = c.area_id""",
+)
+def geo_polygons_carry_shape(spark, sf_dir):
+    """Enriched polygons with their shape, written for other tools and read back."""
+    enriched = plans.enrich_polygons(
+        nation_areas(spark, sf_dir),
+        nation_severity(spark, sf_dir),
+        line_incidents(spark, sf_dir),
+        "area_id",
+        year=1999,
+        cell=2.0,
+    )
+    path = op.scratch_path(spark)
+    src.write_polygons(enriched, path)
+    return spark.read.parquet(path).select(
+        "area_id", "inform_class", "conflict_events", "wkt", F.inline("edges")
+    )
+
+
 def _adm_keys(spark, sf_dir):
     """Area id to administrative code; the nations of region 4 are not in the key file."""
     nation = table(spark, sf_dir, "nation").where(F.col("n_regionkey") != 4)

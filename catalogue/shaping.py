@@ -128,6 +128,21 @@ def scl_name_lookup_regex(spark, sf_dir):
     return op.recode_names(parts, "name", "code", names, PART_PATTERNS, PART_OVERRIDE)
 
 
+@register(
+    QUERIES,
+    """WITH hits AS (SELECT c_custkey, c_name AS name, c_custkey // 10 AS ten,
+        c_custkey // 10 < 400 AND c_custkey // 10 % 40 <> 7 AS known,
+        regexp_matches(lower(c_name), '1[0-9]7$') AS odd FROM customer)
+    SELECT c_custkey, name, CASE WHEN known AND odd THEN NULL WHEN odd THEN 'ODD'
+      WHEN known THEN 'T' || ten END AS code FROM hits""",
+)
+def scl_name_lookup_many(spark, sf_dir):
+    """Hundreds of patterns, most found by a piece of the name; one has no such piece."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("name"))
+    patterns = [(f"#0000{n:04}[0-9]$", f"T{n}") for n in range(400) if n % 40 != 7]
+    return op.recode_names(customers, "name", "code", patterns=[*patterns, ("1[0-9]7$", "ODD")])
+
+
 @register(
     QUERIES,
     """WITH flags AS (SELECT doc_id, regexp_matches(text, 'thatin|hehely') AS conflict,
@@ -214,6 +229,31 @@ def join_left_null_safe(spark, sf_dir):
     return op.left_join(suppliers.select("s_suppkey", "code"), totals, "code")
 
 
+@register(
+    QUERIES,
+    """WITH keyed AS (SELECT CASE WHEN l_returnflag <> 'N' THEN l_suppkey END AS supplier,
+        CAST(l_quantity AS DECIMAL(18,2)) AS quantity FROM lineitem),
+    named AS (SELECT s_suppkey AS supplier, s_name AS name FROM supplier WHERE s_nationkey <> 3
+      UNION ALL SELECT NULL, 'nobody')
+    SELECT name, count(*) AS n, CAST(sum(quantity) AS DOUBLE) AS quantity FROM keyed k
+    LEFT JOIN named s ON k.supplier IS NOT DISTINCT FROM s.supplier GROUP BY name""",
+)
+def join_left_spread(spark, sf_dir):
+    """Raw rows joined by a key that half of them lack; the frequent keys are dealt out."""
+    named = table(spark, sf_dir, "supplier").where("s_nationkey <> 3").select(
+        F.col("s_suppkey").alias("supplier"), F.col("s_name").alias("name")
+    )
+    nobody = spark.createDataFrame([(None, "nobody")], "supplier long, name string")
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_returnflag") != "N", F.col("l_suppkey")).alias("supplier"),
+        money("l_quantity").alias("quantity"),
+    )
+    joined = op.left_join(rows, named.unionByName(nobody), "supplier", spread=True)
+    return joined.groupBy("name").agg(
+        pf.n_rows().alias("n"), F.sum("quantity").cast("double").alias("quantity")
+    )
+
+
 @register(
     QUERIES,
     f"""WITH {CODED_ORDERS}, spine AS (

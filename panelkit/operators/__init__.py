@@ -8,7 +8,7 @@ from .columns import (
 )
 from .complete import complete
 from .deflate import deflate, price_index
-from .joins import left_join, require_unique
+from .joins import heavy_keys, left_join, require_unique
 from .recode import lookup_table, recode, recode_names
 from .retype import guess_types, retype
 from .rows import arrange, drop_first_rows, first_rows
@@ -24,7 +24,7 @@ __all__ = [
     "col_range", "complete", "complete_sum", "count_in_polygons", "covered_by",
     "deflate", "distinct_rows", "drop_first_rows", "drop_suffix", "first_rows",
     "fits_in_broadcast",
-    "group_constant", "guess_types", "harmonise", "keep_inside", "left_join",
+    "group_constant", "guess_types", "harmonise", "heavy_keys", "keep_inside", "left_join",
     "lenient_sum", "lookup_table", "match_points", "measure_present", "measure_rows",
     "point_columns", "point_problems", "price_index", "recode", "recode_names", "replace_missing",
     "require_unique", "retype", "scratch_path", "settle", "spatial_left_join", "summarise",

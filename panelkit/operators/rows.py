@@ -18,8 +18,9 @@ def arrange(df: DataFrame, *names: str) -> DataFrame:
 def first_rows(df: DataFrame, k: int, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first ``k`` rows of each group.
 
-    Spark keeps at most ``k`` rows per group and task before it shuffles them, so a group of
-    any size is never sorted in one task.
+    For a ``k`` up to 1000 (the default of ``spark.sql.optimizer.windowGroupLimitThreshold``)
+    Spark keeps at most ``k`` rows per group and task before it shuffles them, so a group of any
+    size is never sorted in one task; beyond it, it is.
     """
     rank = F.row_number().over(
         Window.partitionBy(*by).orderBy(*[F.col(c).asc_nulls_first() for c in order])

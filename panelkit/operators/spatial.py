@@ -1,15 +1,16 @@
-"""Points in polygons by a grid-cell equi-join and an exact test.
+"""Points in polygons by an equi-join on cells of a quadtree, and an exact test.
 
 A polygon is a row with an ``edges`` column (see ``sources.geojson``): an array of segments
-over all rings of all parts. It is cut into tiles, one per grid cell it may touch. A point has
-exactly one cell, so joining on the cell neither loses nor repeats a match, whatever the cell
-size.
+over all rings of all parts. It is covered by tiles: small ones along its outline, larger and
+larger ones inside. A point has one cell of each size, and of a polygon's tiles at most one holds
+it, so joining on size and cell neither loses nor repeats a match, whatever the sizes.
 
 The test counts the edges to the right of the point. A tile holds only the edges that enter its
 cell. Of those further right just the count matters, and that is the same for the whole cell but
-for the heights at which their chain ends: a number and a few heights stand for them all, so the
-tiles of a polygon are about as large as the polygon, however wide it is. A cell that no edge
-enters is inside or outside as a whole: its points need no test, and outside tiles are left out.
+for the heights at which their chain ends: a number and a few heights stand for them all. A cell
+that no edge enters is inside or outside as a whole: its points need no test, outside cells are
+left out, and inside cells are merged four by four as far as they go. So the tiles of a polygon
+are about as many as its outline is long, however large its area.
 """
 
 from __future__ import annotations
@@ -25,21 +26,51 @@ from .staging import BROADCAST_BYTES, fits_in_broadcast, settle
 
 EDGE_BYTES, TILE_BYTES = 56, 96
 ROW = "__polygon"
+STEP = 2
+"""Cells of the next level are 2**STEP times as wide; each point looks up one cell per level."""
+TILES_AT_ONCE = 256
+"""Tiles of one crowded cell that a task tests its points against."""
+
+
+def _wrong(x: Column, y: Column) -> Column:
+    """Is a coordinate missing, out of range or no number? Never NULL, and a reader can prune by it.
+
+    NaN counts as larger than any number, so the upper bounds catch it.
+    """
+    return x.isNull() | y.isNull() | (x < -180) | (x > 180) | (y < -90) | (y > 90)
+
+
+def _unless_wrong(x: Column, y: Column, value: Column) -> Column:
+    """``value``, or an error where the coordinates are wrong.
+
+    Both stand in one CASE, so no filter that is inferred from ``value`` can remove a wrong row
+    before it is seen.
+    """
+    shown = F.to_json(F.struct(x.alias("x"), y.alias("y")))
+    message = F.concat(F.lit("bad coordinates: "), shown)
+    return F.when(_wrong(x, y), F.raise_error(message)).otherwise(value)
+
+
+def _bad_rows(bad: str) -> bool:
+    if bad not in ("fail", "drop"):
+        raise ValueError(f"unknown mode {bad!r}")
+    return bad == "fail"
 
 
 def point_columns(
     df: DataFrame, x: str = "longitude", y: str = "latitude", bad: str = "fail"
 ) -> DataFrame:
-    """Check coordinates: a missing or out-of-range one fails the query, or drops the row."""
+    """Check coordinates: a missing or out-of-range one fails the query, or drops the row.
+
+    Rows that another column's filter removes may go before they are checked; a filter on the
+    coordinates themselves cannot remove a bad one. The operators below check the points they
+    are given in the same way, and then still prune by the extent of the polygons.
+    """
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    valid = F.coalesce(px.between(-180, 180) & py.between(-90, 90), F.lit(False))
-    if bad == "drop":
-        return df.where(valid).withColumns({x: px, y: py})
-    if bad != "fail":
-        raise ValueError(f"unknown mode {bad!r}")
-    message = F.concat(F.lit("bad coordinates: "), F.to_json(F.struct(x, y)))
-    passed = F.when(valid, True).otherwise(F.raise_error(message).cast("boolean"))
-    return df.where(passed).withColumns({x: px, y: py})
+    if not _bad_rows(bad):
+        return df.where(~_wrong(px, py)).withColumns({x: px, y: py})
+    checked = {x: _unless_wrong(px, py, px), y: _unless_wrong(px, py, py)}
+    return df.where(_unless_wrong(px, py, F.lit(True))).withColumns(checked)
 
 
 def point_problems(df: DataFrame, x: str = "longitude", y: str = "latitude") -> DataFrame:
@@ -112,6 +143,44 @@ def _odd_runs(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return runs.select(*keys, F.explode(F.sequence("__left", F.col("__next") - 1)).alias("tile_x"))
 
 
+def _row_spans(
+    polygons: DataFrame, key: Sequence[str], edges: str, cell: float, tolerance: float
+) -> DataFrame:
+    """(*key, __edge, tile_y, __left, __right, ...): the cells that an edge may touch, row by row.
+
+    The part of an edge within a row is cut out a little too large, by more than rounding can
+    amount to, so no cell is missed; a point to the left of the span has all of the edge's part
+    in that row on its right.
+    """
+    t = F.lit(float(tolerance))
+    e = F.col("__edge")
+    low_x, high_x = F.least(e.x1, e.x2), F.greatest(e.x1, e.x2)
+    low_y, high_y = F.least(e.y1, e.y2), F.greatest(e.y1, e.y2)
+    spans = (
+        polygons.select(*key, F.explode(edges).alias("__edge"))
+        .withColumns(
+            {
+                "__first": _cell(low_y, cell),  # rows of the ends, without the tolerance
+                "__last": _cell(high_y, cell),
+                "tile_y": F.explode(F.sequence(_cell(low_y - t, cell), _cell(high_y + t, cell))),
+            }
+        )
+    )
+    more = t + (F.abs("tile_y") + 1) * F.lit(cell * 1e-12)
+    bottom, top = F.col("tile_y") * F.lit(float(cell)) - more, (F.col("tile_y") + 1) * F.lit(float(cell)) + more
+    rise = F.when(e.y1 != e.y2, e.y2 - e.y1)  # NULL for a level edge
+
+    def at(height: Column, end: Column) -> Column:
+        within = F.least(F.greatest(height, low_y), high_y)
+        return F.coalesce(e.x1 + (e.x2 - e.x1) * ((within - e.y1) / rise), end)
+
+    one, two = at(bottom, e.x1), at(top, e.x2)
+    slack = t + (F.abs(e.x1) + F.abs(e.x2)) * F.lit(1e-13)
+    left = F.greatest(_cell(F.least(one, two) - slack, cell), _cell(low_x - t, cell))
+    right = F.least(_cell(F.greatest(one, two) + slack, cell), _cell(high_x + t, cell))
+    return spans.withColumns({"__left": left, "__right": right})
+
+
 def tile_polygons(
     polygons: DataFrame,
     id_col: str,
@@ -120,22 +189,23 @@ def tile_polygons(
     tolerance: float = 0.0,
     max_width: float = 180.0,
 ) -> DataFrame:
-    """One row per polygon and grid cell it may touch.
-
-    (id, tile_x, tile_y, tile_edges, tile_turns, tile_base, tile_inside): a tile is inside as a
-    whole, or has the edges that enter it, whether an odd number of edges further right passes
-    below its row (0 or 1), and the heights within the row at which such an edge starts or ends.
-
-    Edges, not polygons, are the unit of work. Each goes to the cells of its own box. Where two
-    edges meet, their heights cancel out but in the cells between their left ends; the cells
-    with an odd number of edges further right are runs along a row. So the work grows with the
-    edges and tiles, and a long outline is shared by many tasks. Rows with the same id, or
-    none, are polygons of their own. A polygon wider than ``max_width`` most likely crosses
-    the date line, where planar tests are wrong, and fails the query.
+    """The cover of each polygon: one row per tile.
+
+    (id, tile_level, tile_x, tile_y, tile_edges, tile_turns, tile_base, tile_inside): a tile of
+    level k is 2**k cells wide. It is inside as a whole, or it is a single cell and has the edges
+    that enter it, whether an odd number of edges further right passes below its row (0 or 1),
+    and the heights within the row at which such an edge starts or ends.
+
+    Edges, not polygons, are the unit of work. Each goes to the cells that it may touch in each
+    row. Where two edges meet, their heights cancel out but in the cells between their left ends.
+    Cells with an edge make up the outline on each level; the inside tiles are those of their
+    neighbours in the same larger cell that have no edge and an odd number further right. So the
+    work grows with the outline, and a long outline is shared by many tasks. Rows with the same
+    id, or none, are polygons of their own. A polygon wider than ``max_width`` most likely
+    crosses the date line, where planar tests are wrong, and fails the query.
     """
     if id_col != ROW:
         polygons = _numbered(polygons.select(id_col, edges))
-    t = F.lit(float(tolerance))
     width = F.array_max(
         F.transform(F.col(edges), lambda e: F.greatest(e.x1, e.x2))
     ) - F.array_min(F.transform(F.col(edges), lambda e: F.least(e.x1, e.x2)))
@@ -143,63 +213,152 @@ def tile_polygons(
     narrow = F.when(width > max_width, F.raise_error(message).cast("boolean")).otherwise(True)
     key = list(dict.fromkeys([ROW, id_col]))
     e = F.col("__edge")
-    segments = (
-        polygons.where(narrow)
-        .select(*key, F.explode(edges).alias("__edge"))
-        .withColumns(
-            {
-                "__left": _cell(F.least(e.x1, e.x2) - t, cell),
-                "__right": _cell(F.greatest(e.x1, e.x2) + t, cell),
-                "__low": _cell(F.least(e.y1, e.y2) - t, cell),
-                "__high": _cell(F.greatest(e.y1, e.y2) + t, cell),
-                "__first": _cell(F.least(e.y1, e.y2), cell),
-                "__last": _cell(F.greatest(e.y1, e.y2), cell),
-            }
-        )
-    )
+    spans = _row_spans(polygons.where(narrow), key, edges, cell, tolerance)
     place = [*key, "tile_x", "tile_y"]
-    entering = segments.select(
-        "*", F.explode(F.sequence("__low", "__high")).alias("tile_y")
-    ).select("*", F.explode(F.sequence("__left", "__right")).alias("tile_x"))
-    ends = segments.select(*key, "__left", F.explode(F.array(e.y1, e.y2)).alias("__height"))
-    turns = _odd_runs(
-        ends.withColumn("tile_y", _cell(F.col("__height"), cell)), [*key, "tile_y", "__height"]
+    entering = spans.select(
+        *key, "__edge", "tile_y", F.explode(F.sequence("__left", "__right")).alias("tile_x")
     )
-    passing = segments.where("__first < __last").select(
-        *key, "__left", F.explode(F.sequence(F.col("__first") + 1, "__last")).alias("tile_y")
+    heights = F.filter(F.array(e.y1, e.y2), lambda y: _cell(y, cell) == F.col("tile_y"))
+    ends = spans.select(*key, "tile_y", "__left", F.explode(heights).alias("__height"))
+    turns = _odd_runs(ends, [*key, "tile_y", "__height"])
+    passing = spans.where("__first < tile_y AND tile_y <= __last").select(*key, "tile_y", "__left")
+    cells = settle(entering.select(*place).distinct())
+    asked = cells.select(*place, F.lit(0).alias("tile_level")).unionByName(
+        _inner_candidates(cells, key), allowMissingColumns=True
     )
-    below = _odd_runs(passing, [*key, "tile_y"])
-    return (
+    judged = _with_base(asked, passing, key)
+    whole = judged.where("__edged = 0 AND tile_base = 1")
+    outline = judged.where("__edged = 1")
+    held = (
         entering.select(*place, "__edge")
         .unionByName(turns.select(*place, "__height"), allowMissingColumns=True)
-        .unionByName(below.select(*place, F.lit(1).alias("__odd")), allowMissingColumns=True)
+        .unionByName(outline.select(*place, "tile_base"), allowMissingColumns=True)
         .groupBy(*place)
         .agg(
             F.collect_list("__edge").alias("tile_edges"),
             F.collect_list("__height").alias("tile_turns"),
-            F.coalesce(F.max("__odd"), F.lit(0)).alias("tile_base"),
+            F.coalesce(F.max("tile_base"), F.lit(0)).alias("tile_base"),
         )
-        .withColumn("tile_inside", (F.size("tile_edges") == 0) & (F.size("tile_turns") == 0))
-        .drop(*[c for c in key if c != id_col])
+        .withColumns({"tile_level": F.lit(0), "tile_inside": F.lit(False)})
+    )
+    names = ["tile_level", "tile_x", "tile_y", "tile_edges", "tile_turns", "tile_base", "tile_inside"]
+    none = whole.withColumns(
+        {
+            "tile_edges": F.array().cast(held.schema["tile_edges"].dataType),
+            "tile_turns": F.array().cast("array<double>"),
+            "tile_inside": F.lit(True),
+        }
+    )
+    return held.select(id_col, *names).unionByName(none.select(id_col, *names))
+
+
+def _inner_candidates(cells: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Tiles without an edge that have a sister with one, on all levels: inside or outside.
+
+    ``cells`` are those with edges. On the highest level a polygon covers two cells each way at
+    most, so none of them lies inside, and every inside cell has one such tile that holds it.
+    """
+    span = cells.groupBy(ROW).agg(
+        F.greatest(F.max("tile_x") - F.min("tile_x"), F.max("tile_y") - F.min("tile_y")).alias("n")
+    )
+    widest = span.agg(F.max("n")).first()[0] or 0
+    highest = -(-int(widest).bit_length() // STEP) * STEP
+    levels = F.explode(F.sequence(F.lit(0), F.lit(highest), F.lit(STEP))).alias("tile_level")
+    edged = cells.select(*key, "tile_x", "tile_y", levels)
+    up = {c: F.expr(f"shiftright({c}, tile_level)") for c in ("tile_x", "tile_y")}
+    edged = edged.withColumns(up).distinct()
+    sisters = F.sequence(F.lit(0), F.lit(2**STEP - 1))
+    below = (
+        edged.where(F.col("tile_level") > 0)
+        .withColumn("tile_level", F.col("tile_level") - STEP)
+        .withColumn("__dx", F.explode(sisters))
+        .withColumn("__dy", F.explode(sisters))
+        .withColumns({c: F.col(c) * 2**STEP + F.col(d) for c, d in (("tile_x", "__dx"), ("tile_y", "__dy"))})
+        .drop("__dx", "__dy")
+    )
+    on = [ROW, "tile_level", "tile_x", "tile_y"]
+    return below.join(edged.select(*on), on, "left_anti").select(
+        *key, "tile_x", "tile_y", "tile_level"
+    ).withColumn("__inner", F.lit(1))
+
+
+def _with_base(asked: DataFrame, passing: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Add ``tile_base``: is the number of passing edges further right odd? And ``__edged``.
+
+    Asked is the lowest left cell of a tile; in a tile without edges it speaks for all cells.
+    """
+    corner = {f"__{c}": F.expr(f"shiftleft({c}, tile_level)") for c in ("tile_x", "tile_y")}
+    asked = asked.withColumns(corner).withColumn("__mark", F.lit(0))
+    odd = passing.groupBy(*key, F.col("tile_y").alias("__tile_y"), F.col("__left").alias("__tile_x")).agg(
+        (n_rows() % 2).cast("int").alias("__mark")
+    )
+    rows = asked.unionByName(odd.where("__mark = 1"), allowMissingColumns=True)
+    # from right to left; an edge that begins in the asked cell itself is not further right
+    line = Window.partitionBy(ROW, "__tile_y").orderBy(F.col("__tile_x").desc(), "__mark")
+    passed = F.sum("__mark").over(line.rowsBetween(Window.unboundedPreceding, 0))
+    edged = F.when(F.col("__inner").isNull(), 1).otherwise(0)
+    return (
+        rows.withColumns({"tile_base": (passed % 2).cast("int"), "__edged": edged})
+        .where("__mark = 0")
+        .drop("__tile_x", "__tile_y", "__mark", "__inner")
     )
 
 
-def _crowded_cells(points: DataFrame) -> DataFrame:
-    """(crowd_x, crowd_y, pieces) of the cells that hold more than one task's share of points.
+def _outermost(tiles: DataFrame) -> DataFrame:
+    """The tiles without those that lie within an inside tile of whatever polygon.
 
-    ``pieces`` is the number of shares. The shares of all cells add up to the number of tasks,
-    so the table has fewer rows than there are tasks, however the points lie.
+    Of the cells that hold a point, one at most then has tiles that can match it.
+    """
+    highest = tiles.agg(F.max("tile_level")).first()[0] or 0
+    inside = tiles.where("tile_inside").select("tile_level", "tile_x", "tile_y").distinct()
+    inside = settle(inside)
+    above = F.explode(F.sequence(F.col("tile_level"), F.lit(highest), F.lit(STEP))).alias("__level")
+    over = tiles.select("tile_level", "tile_x", "tile_y").distinct().select("*", above)
+    up = [F.expr(f"shiftright({c}, __level - tile_level)").alias(f"__{c}") for c in ("tile_x", "tile_y")]
+    over = over.select("*", *up)
+    covered = over.join(
+        inside.select(*[F.col(c).alias(f"__in_{c}") for c in inside.columns]),
+        (F.col("__level") == F.col("__in_tile_level"))
+        & (F.col("__tile_x") == F.col("__in_tile_x"))
+        & (F.col("__tile_y") == F.col("__in_tile_y")),
+    )
+    # an inside tile is covered by itself, which does not count
+    deeper = covered.where("__level > tile_level").select("tile_level", "tile_x", "tile_y").distinct()
+    same = ["tile_level", "tile_x", "tile_y"]
+    left = tiles.join(deeper, same, "left_anti")
+    # beside an inside tile of one cell the edges of others need no test
+    whole = left.where("tile_inside").dropDuplicates(same)
+    return left.where("NOT tile_inside").join(inside, same, "left_anti").unionByName(whole)
+
+
+def _crowded_cells(points: DataFrame, tiles: DataFrame, split_tiles: bool) -> DataFrame:
+    """(level, x, y, __shares, __parts) of the cells with more than one task's share of tests.
+
+    A cell has as many tests as points times tiles. Its tiles are parted where they are many,
+    and its points dealt out, so that points' shares times tiles' parts are its share of all
+    tasks. The shares of all cells add up to the number of tasks, so the table has fewer rows
+    than there are tasks, however points and polygons lie.
     """
     spark = points.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = settle(
-        points.groupBy(
-            F.col("__cell_x").alias("crowd_x"), F.col("__cell_y").alias("crowd_y")
-        ).agg(F.count(F.lit(1)).alias("n"))
+    names = ["level", "x", "y"]
+    there = points.groupBy(*[F.col(f"__cell.{c}").alias(c) for c in names]).agg(
+        F.count(F.lit(1)).alias("points")
+    )
+    held = tiles.groupBy(*[F.col(f"tile_{c}").alias(c) for c in names]).agg(
+        F.count(F.lit(1)).alias("tiles")
+    )
+    cells = settle(there.join(held, names))
+    tests = F.col("points") * F.col("tiles")
+    total = cells.agg(F.sum(tests)).first()[0] or 0
+    pieces = F.ceil(tests * F.lit(float(tasks)) / F.lit(float(max(total, 1))))
+    parts = F.least(pieces, F.ceil(F.col("tiles") / TILES_AT_ONCE)) if split_tiles else F.lit(1)
+    return (
+        cells.withColumn("__parts", parts.cast("int"))
+        .withColumn("__shares", F.ceil(pieces / F.col("__parts")).cast("int"))
+        .where("__shares * __parts > 1")
+        .select(*[F.col(c).alias(f"__crowd_{c}") for c in names], "__shares", "__parts")
     )
-    total = cells.agg(F.sum("n")).first()[0] or 0
-    pieces = F.ceil(F.col("n") * F.lit(tasks) / F.lit(max(total, 1))).cast("int")
-    return cells.select("crowd_x", "crowd_y", pieces.alias("pieces")).where("pieces > 1")
 
 
 def _join_tiles(
@@ -211,70 +370,97 @@ def _join_tiles(
     how: str,
     tolerance: float,
     broadcast_bytes: int,
+    bad: str,
 ) -> DataFrame:
-    """Join points to the tiles of their cell, then test exactly.
+    """Join points to the tiles of their cells, then test exactly.
 
     The tiles are written once, then their size and extent are measured. Small tiles are
     broadcast: the points are then not shuffled at all, and a crowded cell is no problem. Beyond
-    that size both sides are shuffled on the cell and a salt: the points of a crowded cell are
-    dealt out to as many pieces as it has shares, each with its own copy of that cell's tiles;
-    all other cells stay whole.
+    that size both sides are shuffled on the cell and its piece: the points of a crowded cell
+    are dealt out, and where its tiles are many these are parted as well, so that a task has
+    its share of the tests; all other cells stay whole.
     """
     names = points.columns
     tiles = settle(tiles)
+    if how == "left_semi":  # a point must not be found on two levels
+        tiles = settle(_outermost(tiles))
     tile_bytes = F.size("tile_edges") * EDGE_BYTES + F.size("tile_turns") * 8 + TILE_BYTES
+    low = {c: F.expr(f"shiftleft(tile_{c}, tile_level)") for c in ("x", "y")}
+    high = {c: F.expr(f"shiftleft(tile_{c} + 1, tile_level) - 1") for c in ("x", "y")}
     measured = tiles.agg(
         F.sum(tile_bytes.cast("bigint")).alias("size"),
-        F.min("tile_x").alias("west"),
-        F.max("tile_x").alias("east"),
-        F.min("tile_y").alias("south"),
-        F.max("tile_y").alias("north"),
+        F.collect_set("tile_level").alias("levels"),
+        F.min(low["x"]).alias("west"),
+        F.max(high["x"]).alias("east"),
+        F.min(low["y"]).alias("south"),
+        F.max(high["y"]).alias("north"),
     ).first()
-    px, py = F.col(x), F.col(y)
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
     # the box of all tiles, a cell wider on each side; on a stored column it reaches the reader
-    if measured["size"] is None:
-        points = points.where(F.lit(False))
+    near = F.lit(False)
+    if measured["size"] is not None:
+        near = px.between((measured["west"] - 1) * cell, (measured["east"] + 2) * cell) & py.between(
+            (measured["south"] - 1) * cell, (measured["north"] + 2) * cell
+        )
+    at = {"__at_x": _cell(px, cell), "__at_y": _cell(py, cell)}
+    if _bad_rows(bad):
+        # the reader may skip what is neither near nor wrong; what it reads is judged at once
+        points = points.where(near | _wrong(px, py)).where(_unless_wrong(px, py, near))
+        if measured["size"] is None:
+            points.isEmpty()  # a join with nothing might never look at the points
+        at = {name: _unless_wrong(px, py, value) for name, value in at.items()}
     else:
-        points = points.where(
-            px.between((measured["west"] - 1) * cell, (measured["east"] + 2) * cell)
-            & py.between((measured["south"] - 1) * cell, (measured["north"] + 2) * cell)
+        points = points.where(~_wrong(px, py) & near)
+    cells = [
+        F.struct(
+            F.lit(level).alias("level"),
+            F.expr(f"shiftright(__at_x, {level})").alias("x"),
+            F.expr(f"shiftright(__at_y, {level})").alias("y"),
         )
-    points = points.withColumns({"__cell_x": _cell(px, cell), "__cell_y": _cell(py, cell)})
-    on = (F.col("__cell_x") == F.col("tile_x")) & (F.col("__cell_y") == F.col("tile_y"))
+        for level in sorted(measured["levels"]) or [0]
+    ]
+    own = F.explode(F.array(*cells)) if len(cells) > 1 else cells[0]
+    points = points.withColumns(at).withColumn("__cell", own).drop("__at_x", "__at_y")
+    on = F.lit(True)
+    for c in ("level", "x", "y"):
+        on = on & (F.col(f"__cell.{c}") == F.col(f"tile_{c}"))
     already = F.col("tile_base") + F.size(F.filter("tile_turns", lambda height: height <= py))
     exact = F.col("tile_inside") | covered_by(F.col("tile_edges"), px, py, tolerance, already)
     if (measured["size"] or 0) <= broadcast_bytes:
         tiles = F.broadcast(tiles)
     else:
-        crowded = F.broadcast(_crowded_cells(points))
-        pieces = F.coalesce(F.col("pieces"), F.lit(1))
+        crowded = F.broadcast(_crowded_cells(points, tiles, how == "inner"))
+
+        def crowd(kind: str) -> Column:
+            same = F.lit(True)
+            for c in ("level", "x", "y"):
+                same = same & (F.col(f"{kind}{c}") == F.col(f"__crowd_{c}"))
+            return same
+
+        shares, parts = (F.coalesce(c, F.lit(1)) for c in ("__shares", "__parts"))
         # the partition number parts even identical rows, and is the same when a task is rerun
         hashable = [name for name, kind in points.dtypes if "map<" not in kind]
         spread = F.xxhash64(*hashable, F.spark_partition_id())
         points = (
             points.withColumn("__spread", spread)
-            .join(
-                crowded,
-                (F.col("__cell_x") == F.col("crowd_x")) & (F.col("__cell_y") == F.col("crowd_y")),
-                "left",
-            )
-            .withColumn("__salt", F.pmod(F.col("__spread"), pieces).cast("int"))
-            .select(*names, "__cell_x", "__cell_y", "__salt")
+            .join(crowded, crowd("__cell."), "left")
+            .withColumn("__share", F.pmod(F.col("__spread"), shares).cast("int"))
+            .withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
+            .select(*names, "__cell", "__share", "__part")
         )
+        spread = F.xxhash64(*[c for c in tiles.columns], F.spark_partition_id())
         tiles = (
-            tiles.join(
-                crowded,
-                (F.col("tile_x") == F.col("crowd_x")) & (F.col("tile_y") == F.col("crowd_y")),
-                "left",
-            )
-            .withColumn("tile_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
-            .drop("crowd_x", "crowd_y", "pieces")
+            tiles.withColumn("__spread", spread)
+            .join(crowded, crowd("tile_"), "left")
+            .withColumn("tile_part", F.pmod(F.col("__spread"), parts).cast("int"))
+            .withColumn("tile_share", F.explode(F.sequence(F.lit(0), shares - 1)))
+            .drop("__crowd_level", "__crowd_x", "__crowd_y", "__shares", "__parts", "__spread")
             .hint("shuffle_hash")
         )
-        on = on & (F.col("__salt") == F.col("tile_salt"))
+        on = on & (F.col("__share") == F.col("tile_share")) & (F.col("__part") == F.col("tile_part"))
     return points.join(tiles, on & exact, how).drop(
-        "__cell_x", "__cell_y", "__salt",
-        "tile_x", "tile_y", "tile_salt",
+        "__cell", "__share", "__part",
+        "tile_level", "tile_x", "tile_y", "tile_share", "tile_part",
         "tile_inside", "tile_edges", "tile_base", "tile_turns",
     )
 
@@ -288,16 +474,19 @@ def match_points(
     cell: float = 1.0,
     tolerance: float = 0.0,
     broadcast_bytes: int = BROADCAST_BYTES,
+    bad: str = "fail",
 ) -> DataFrame:
     """Each point with the id of each polygon that covers it; points outside all are left out.
 
     ``cell`` is the grid size in the unit of the coordinates. It changes the speed, not the
-    answer: small cells leave more points without a test and make more tiles.
+    answer: small cells leave more points without a test and make more tiles. A missing or
+    out-of-range coordinate fails the query, wherever the polygons lie and even if there are
+    none; with ``bad="drop"`` such a point matches nothing.
     """
     _no_clash(points, [id_col])
     tiles = tile_polygons(polygons, id_col, cell, tolerance=tolerance)
     return _join_tiles(
-        points, tiles, x, y, cell, "inner", tolerance, broadcast_bytes
+        points, tiles, x, y, cell, "inner", tolerance, broadcast_bytes, bad
     )
 
 
@@ -310,11 +499,12 @@ def keep_inside(
     cell: float = 1.0,
     tolerance: float = 0.0,
     broadcast_bytes: int = BROADCAST_BYTES,
+    bad: str = "fail",
 ) -> DataFrame:
-    """The points that lie in any of the polygons, each once."""
+    """The points that lie in any of the polygons, each once. ``bad`` as in ``match_points``."""
     tiles = tile_polygons(polygons, id_col, cell, tolerance=tolerance)
     return _join_tiles(
-        points, tiles, x, y, cell, "left_semi", tolerance, broadcast_bytes
+        points, tiles, x, y, cell, "left_semi", tolerance, broadcast_bytes, bad
     )
 
 

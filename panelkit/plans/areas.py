@@ -9,7 +9,7 @@ from ..functions.aggregates import sum_lenient
 from ..functions.numbers import share
 from ..operators.aggregate import lenient_sum, measure_present, measure_rows
 from ..operators.joins import left_join
-from ..operators.spatial import count_in_polygons, point_columns
+from ..operators.spatial import count_in_polygons
 
 MEASURES = {
     "conflict_events": measure_present("best"),
@@ -33,9 +33,7 @@ def enrich_polygons(
     Polygon columns that incidents have too are the polygon's. ``year`` None takes all years.
     """
     rows = incidents if year is None else incidents.where(F.col("year") == year)
-    points = point_columns(
-        rows.select("longitude", "latitude", "best", "deaths_civilians")
-    )
+    points = rows.select("longitude", "latitude", "best", "deaths_civilians")
     counted = count_in_polygons(polygons, points, id_col, MEASURES, cell=cell, **options)
     joined = left_join(counted, severity, iso3)
     attributes = [c for c in joined.columns if c not in MEASURES]
@@ -52,7 +50,7 @@ def events_by_area(
     **options,
 ) -> DataFrame:
     """(shape id, area code, events) with the code looked up in a key file; 0 for no events."""
-    points = point_columns(incidents.select("longitude", "latitude"))
+    points = incidents.select("longitude", "latitude")
     counted = count_in_polygons(
         polygons.select(id_col, "edges"),
         points,

@@ -14,7 +14,8 @@ from ..operators.columns import drop_suffix
 from ..operators.complete import complete
 from ..operators.joins import left_join
 from ..operators.recode import recode
-from ..operators.spatial import keep_inside, point_columns
+from ..operators.spatial import keep_inside
+from ..operators.staging import settle
 
 MEASURES = {"events": measure_rows(), "fatalities": complete_sum("best")}
 
@@ -73,10 +74,10 @@ def carve_out(
     in years the child does not cover). With ``strict_gaps`` the child's gap years have no
     entity; by default they are the child's.
     """
-    points = point_columns(incidents.where(in_parent))
-    inside = keep_inside(points, polygons, polygon_id, cell=cell)
-    found = summarise(
-        inside.withColumn("iso3", F.lit(child)), ["iso3", "year"], MEASURES
+    inside = keep_inside(incidents.where(in_parent), polygons, polygon_id, cell=cell)
+    # a row per year, which both halves of the answer read
+    found = settle(
+        summarise(inside.withColumn("iso3", F.lit(child)), ["iso3", "year"], MEASURES)
     )
     moved = complete(
         found,

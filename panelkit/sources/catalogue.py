@@ -42,8 +42,9 @@ def pick_files(
 ) -> DataFrame:
     """In each dataset the ``nth`` file, by position, of those whose name matches the regex.
 
-    Datasets with fewer matches give nothing. Spark prunes the ranking to ``nth`` rows per
-    dataset and task before the shuffle, so a dataset with very many files does no harm.
+    Datasets with fewer matches give nothing. For an ``nth`` up to 1000 (the default of
+    ``spark.sql.optimizer.windowGroupLimitThreshold``) Spark prunes the ranking to that many
+    rows per dataset and task before the shuffle; beyond it a task sorts all files of a dataset.
     """
     files = catalogue if pattern is None else catalogue.where(F.col(name).rlike(pattern))
     rank = F.row_number().over(Window.partitionBy(dataset).orderBy(position))
@@ -69,7 +70,8 @@ def read_first_matches(
 ) -> DataFrame:
     """The first matching file of each dataset (of the first ``rows``, if given), stacked by name.
 
-    Files that are absent or cannot be decoded to their end are left out whole, with a warning.
+    Files that are absent or cannot be decoded to their end are left out whole, with a warning;
+    a read that fails for another reason is an error. ``list_files`` makes a catalogue of folders.
     """
     picked = pick_files(first_datasets(catalogue, rows), pattern)
     return read_drifting_csv(spark, picked_paths(picked, rows), casts)

@@ -1,6 +1,7 @@
 """Joins, grouping, stacking, recoding and retyping on literal tables."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.errors import PySparkException
@@ -177,6 +178,49 @@ def test_retype(spark):
     ]
 
 
+def test_types_of_dates_and_times(spark):
+    df = spark.createDataFrame(
+        [("2020-01-31 10:05", "2020-01-31", "9:05", "2020-02-30", "123e-5", "1e3", "99999999999999999999"),
+         ("2020/1/1T00:00:01.5Z", "2020/02/01 23:59:59", "23:59:59.25", "2020-01-01", "5", "-7", "+3"),
+         (None, "NA", "", None, "0.5", "0", "12")],
+        "moment string, mixed string, clock string, noday string, small string, num string, large string",
+    )
+    assert op.guess_types(df, guess_integer=True) == {
+        "moment": "timestamp_ntz", "mixed": "timestamp_ntz", "clock": "interval day to second",
+        "noday": "string", "small": "double", "num": "double", "large": "double",
+    }
+    row = op.retype(df).collect()[1]
+    assert row["moment"] == dt.datetime(2020, 1, 1, 0, 0, 1, 500000)
+    assert row["mixed"] == dt.datetime(2020, 2, 1, 23, 59, 59)
+    assert row["clock"] == dt.timedelta(hours=23, minutes=59, seconds=59.25)
+    given = op.retype(df, {"noday": "date", "small": "bigint", "moment": "date", "clock": "double"})
+    assert [tuple(r)[:1] + tuple(r)[2:5] for r in given.collect()] == [
+        (None, None, None, None), (None, None, dt.date(2020, 1, 1), 5), (None, None, None, None)]
+
+
+def test_a_mask_allows_what_the_old_tests_allowed(spark):
+    """Each text alone: its type must follow from patterns and casts tried one by one."""
+    texts = ["1", "01", "-0", "+5", "1.", ".5", ".", "-", "1e", "1e5", "1d", "0x1", "1/2", "1:2", "1:02",
+             "24:00", "T", "t", "true", "True", "2020", "2020-1-1", "2020-13-01", "2020-01-01 ", "1 2",
+             "1-2-3", "١", "Inf", "NaN", "12345678901234567890", "0", "00", "0.5", "-01"]
+    for text in texts:
+        kind = op.guess_types(spark.createDataFrame([(text,)], "x string"), guess_integer=True)["x"]
+        bare = text.strip()
+        if bare in ("T", "F", "TRUE", "FALSE", "true", "false"):
+            expected = "boolean"
+        elif re.fullmatch(r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?", bare, re.A) and not re.match(
+                r"[+-]?0[0-9]", bare):
+            short = re.fullmatch(r"[+-]?[0-9]+", bare) and abs(int(bare)) < 2**63
+            expected = "bigint" if short else "double"
+        elif re.fullmatch(r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", bare) and bare != "2020-13-01":
+            expected = "date"
+        elif bare == "1:02":
+            expected = "interval day to second"
+        else:
+            expected = "string"
+        assert kind == expected, text
+
+
 def test_share_and_stack(spark, rows):
     df = spark.createDataFrame(
         [(2015, "Complex", 1.0), (2015, "Other", 3.0), (2016, "Complex", 0.0)],
@@ -244,3 +288,68 @@ def test_a_very_frequent_key_is_split(spark, rows):
     assert "skew=true" in plan
     assert sum(n for n, _ in found.values()) == 60000 and found["n7"][0] > 20000
     assert all(name == f"n{code}" for name, (_, code) in found.items())
+
+
+def test_required_pieces_of_patterns():
+    from panelkit.operators.recode import required_grams
+
+    cases = {
+        "afghan": ["afghan"], "^blue": ["blue"], "gear$": ["gear"], "bolt|ring": ["bolt", "ring"],
+        "colou?rs": ["colo"], "ab+cde": ["cde"], "r.pub(lic)? of congo": [" of congo"],
+        "côte d.ivoire": ["côte d"], "a|bcd": None, "(?i)abc": None, "x[abc]yzw": ["yzw"],
+        "u\\.s\\. virgin": ["u.s. virgin"], "\\bmali\\b": ["mali"], "(north|south) korea": [" korea"],
+        "abc{0,2}def": ["def"], "abcd*": ["abc"], "\\x41bc def": None, "": None, "[^a]bc": None,
+    }
+    for pattern, expected in cases.items():
+        assert required_grams(pattern) == expected, pattern
+
+
+def test_many_patterns_equal_each_tried(spark, rows):
+    words = ["north", "south", "korea", "congo", "guinea", "bissau", "new", "mali", "niger", "nigeria"]
+    names = [f"{a} {b}" for a in words for b in words] + ["", None, "x", "MALI  North"]
+    patterns = [(f"^{a} {b}$", f"{a[:2]}{b[:2]}") for a in words[:7] for b in words[:7]]
+    patterns += [("niger$", "NE"), ("nigeria", "NG"), ("guinea(?!.*bissau)", "GN"), ("m.li", "ML"), ("z", "Z")]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id int, name string")
+    out = op.recode_names(df.withColumn("__code_of", F.lit(1)), "name", "code", patterns=patterns,
+                          overrides={"x": "XX"})
+    assert out.columns == ["id", "name", "__code_of", "code"]
+    for _, name, code in out.select("id", "name", "code").collect():
+        plain = None if name is None else re.sub(r"\s+", " ", name).strip().lower()
+        found = {c for p, c in patterns if plain is not None and re.search(p, plain)}
+        expected = "XX" if name == "x" else found.pop() if len(found) == 1 else None
+        assert code == expected, name
+
+    def plan_size(n):
+        many = [(f"name number {i} of many", str(i)) for i in range(n)]
+        out = op.recode_names(df, "name", "code", patterns=many)
+        return len(out._jdf.queryExecution().optimizedPlan().toString())
+
+    assert plan_size(5000) < 1.2 * plan_size(100)
+
+
+def test_rows_of_heavy_keys_are_dealt_out(spark, rows):
+    left = spark.range(80_000, numPartitions=80).select(
+        F.when(F.col("id") % 2 == 0, None).when(F.col("id") % 20 == 1, 7).otherwise(F.col("id") % 3000).alias("k"),
+        F.lit("x").alias("same"),
+    )
+    right = spark.range(3000).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    right = right.unionByName(spark.createDataFrame([(None, "none"), (7, "seven")], "k long, name string"))
+    heavy = op.heavy_keys(left, ["k"])
+    assert [r["__shares"] for r in heavy.collect()] == [16]  # half of the rows are 4 of 8 tasks' shares
+    options = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    try:
+        plain, spread = (op.left_join(left, right, "k", spread=s) for s in (False, True))
+        assert spread.columns == plain.columns == ["k", "same", "name"]
+        counts = [df.groupBy("k", "name").count().collect() for df in (plain, spread)]
+        assert sorted(map(str, counts[0])) == sorted(map(str, counts[1]))
+        sizes = [sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+                 for df in (plain, spread)]
+        median = sizes[1][len(sizes[1]) // 2]
+        assert sizes[0][-1] > 3 * sizes[0][len(sizes[0]) // 2] and sizes[1][-1] <= 3 * median
+    finally:
+        for name in options:
+            spark.conf.unset(name)
+    assert op.heavy_keys(left.where("false"), ["k"]).count() == 0
+    assert op.left_join(left.where("false"), right, "k", spread=True).count() == 0

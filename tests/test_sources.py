@@ -1,14 +1,20 @@
 """Readers and writers on small files."""
 
+import bz2
 import gzip
-import os
 import json
+import os
+import random
+import re
+import zlib
 
 import pytest
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from panelkit import plans
 from panelkit import sources as src
+from panelkit.sources.faults import can_be_decoded
 
 
 def write(path, text):
@@ -173,3 +179,140 @@ def test_polygons_round_trip(spark, tmp_path):
     src.write_polygons(df, str(tmp_path / "p"))
     row = spark.read.parquet(str(tmp_path / "p")).first()
     assert row["wkt"].startswith("MULTIPOLYGON (((0.0 0.0") and len(row["edges"]) == 3
+
+
+def test_damage_is_told_from_passing_failures(spark, tmp_path, monkeypatch):
+    good = write(tmp_path / "a.csv", "k,v\nA,1\n")
+    packed = tmp_path / "b.csv.gz"
+    packed.write_bytes(gzip.compress(b"k,v\nB,2\n"))
+    paths = [good, str(packed)]
+    kind = type(spark.read.text(good))
+    collect, calls = kind.collect, []
+
+    def failing(message):
+        def fail(self, *args):
+            calls.append(message)
+            raise PySparkException(message)
+        return fail
+
+    for message in (
+        "Job aborted due to stage failure: ExecutorLostFailure (executor 3 exited)",
+        "java.lang.OutOfMemoryError: Java heap space",
+        # the file is said to be bad, but it is not
+        "[FAILED_READ_FILE.NO_HINT] Encountered error while reading file: Connection reset",
+    ):
+        first = iter([failing(message)])
+        monkeypatch.setattr(kind, "collect", lambda self, *a: next(first, collect)(self, *a))
+        with pytest.raises(PySparkException, match=re.escape(message[:30])):
+            src.file_headers(spark, paths)
+        monkeypatch.setattr(kind, "collect", collect)
+    assert len(calls) == 3
+    assert src.file_headers(spark, paths)[1] == []
+    assert src.fault(ValueError("[PATH_NOT_FOUND] x")) is None
+    with pytest.raises(ValueError):
+        src.possibly(lambda: int("x"))()
+    with pytest.raises(AnalysisException):
+        src.possibly(lambda: spark.sql("SELECT nothing_like_it"))()
+
+
+def test_many_bad_files_need_few_jobs(spark, tmp_path):
+    paths = []
+    for n in range(120):
+        path = tmp_path / f"f{n:03}.csv.gz"
+        data = gzip.compress(b"k,v\n" + f"{n},1\n".encode() * 400)
+        path.write_bytes(data[: len(data) // 2] if n % 6 == 0 else data)
+        paths.append(str(path))
+    context = spark.sparkContext
+    context.setJobGroup("headers", "headers of many files")
+    try:
+        headers, bad = src.file_headers(spark, [*paths, str(tmp_path / "gone.csv")])
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(headers) == 100 and len(bad) == 21
+    assert set(bad) == {*paths[::6], str(tmp_path / "gone.csv")}
+    assert len(context.statusTracker().getJobIdsForGroup("headers")) < 16
+
+
+def test_files_that_cannot_be_decoded():
+    data = os.urandom(5000)
+    for ending, packed in ((".gz", gzip.compress(data)), (".bz2", bz2.compress(data)),
+                           (".deflate", zlib.compress(data))):
+        name = "f.csv" + ending
+        assert can_be_decoded(name, packed)
+        assert not can_be_decoded(name, packed[:-20]) and not can_be_decoded(name, packed[:9])
+        assert not can_be_decoded(name, b"plain text") and not can_be_decoded(name, b"")
+    flipped = bytearray(gzip.compress(data))
+    flipped[-6] ^= 1  # the checksum
+    assert not can_be_decoded("f.gz", bytes(flipped))
+    assert can_be_decoded("f.gz", gzip.compress(b"a") + gzip.compress(b"b"))
+
+
+@pytest.fixture
+def small_blocks(spark):
+    """Files are split every few hundred bytes."""
+    options = {"spark.sql.files.maxPartitionBytes": "900", "spark.sql.files.openCostInBytes": "10"}
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    yield
+    for name in options:
+        spark.conf.unset(name)
+
+
+def test_lines_are_numbered_over_all_splits(spark, rows, tmp_path, small_blocks):
+    sizes = {"one": 300, "two": 1, "three": 120, "none": 0}
+    for name, n in sizes.items():
+        write(tmp_path / f"{name}.txt", "".join(f"{name} {i}\r\n" for i in range(n)))
+    numbered = src.number_lines(src.file_lines(spark, str(tmp_path)))
+    assert numbered.select("path", "block").distinct().count() > 4
+    found = {(r["path"].split("/")[-1][:-4], r["line"], r["value"]) for r in numbered.collect()}
+    assert found == {(k, i, f"{k} {i}") for k, n in sizes.items() for i in range(n)}
+
+
+def test_sheets_lose_the_lines_above_their_rows(spark, rows, tmp_path, small_blocks):
+    body = "".join(f"K{i},{'NA' if i % 7 == 0 else i}\n" for i in range(400))
+    write(tmp_path / "a.csv", "Title, of all\n﻿ISO3,n\n(code),(x)\n\n,\n" + body)
+    write(tmp_path / "b.csv", 'Title\nn,note,ISO3\n-,-,-\n=,=,=\n5,"a, b",K500\n')
+    write(tmp_path / "c.csv", "only a title\n")
+    df = src.read_sheet(spark, str(tmp_path), skip=1, drop=2)
+    assert rows(df, "ISO3", "n", "note") == sorted(
+        [(f"K{i}", None if i % 7 == 0 else str(i), None) for i in range(400)] + [("K500", "5", "a, b")],
+        key=lambda r: tuple((v is None, str(v)) for v in r))
+    assert src.read_sheet(spark, str(tmp_path / "c.csv"), skip=1).count() == 0
+
+
+def test_a_collection_is_read_by_several_tasks(spark, tmp_path, small_blocks):
+    draw = random.Random(2)
+    odd = ["{", "}", '"Feature"', "\\", '\\"', "a}b{c", "[{", "é😀", "\n", '"}', "]", ","]
+
+    def feature(i):
+        ring = [[i, 0], [i + 1, 0], [i + 1, draw.random()], [i, 0]]
+        out = {"type": "Feature", "properties": {"id": str(i), "note": "".join(draw.choices(odd, k=i % 6))},
+               "geometry": {"type": "Polygon", "coordinates": [ring]} if i % 5 else None}
+        return dict(reversed(out.items())) if i % 3 == 0 else out
+
+    features = [feature(i) for i in range(60)]
+    features[30]["properties"]["note"] = "}" * 2500  # longer than a block
+    other = {"type": "name", "properties": {"name": "urn}{"}}
+    document = {"type": "FeatureCollection", "crs": other, "bbox": [0, 0, 1, 1], "meta": {"a": {"b": [{}]}},
+                "features": features, "tail": {"x": {}}}
+    for n, (indent, ascii_only) in enumerate([(None, True), (2, False)]):
+        path = write(tmp_path / f"{n}.geojson", json.dumps(document, indent=indent, ensure_ascii=ascii_only))
+        found = src.read_geojson(spark, path, {"id": "string", "note": "string"}).collect()
+        assert sorted((r["id"], r["note"], r["xmin"]) for r in found) == sorted(
+            (f["properties"]["id"], f["properties"]["note"],
+             float(f["properties"]["id"]) if f["geometry"] else None) for f in features)
+    pieces = src.file_lines(spark, path, "}")
+    assert pieces.select("block").distinct().count() > 8
+    empty = write(tmp_path / "empty.geojson", '{"type": "FeatureCollection", "features": []}')
+    assert src.read_geojson(spark, empty, {"id": "string"}).count() == 0
+
+
+def test_files_of_folders(spark, rows, tmp_path):
+    for name in ("b/2.csv", "b/1.csv", "a/x/9.csv", "a/x/8.txt", "b/3.csv"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        write(tmp_path / name, "k\n")
+    files = src.list_files(spark, str(tmp_path))
+    assert rows(files, "dataset", "name", "length") == [
+        ("b", "1.csv", 2), ("b", "2.csv", 2), ("b", "3.csv", 2), ("x", "8.txt", 2), ("x", "9.csv", 2)]
+    assert rows(src.pick_files(files, "csv$", nth=2), "name") == [("2.csv",)]
+    assert src.list_files(spark, str(tmp_path), "*.txt").count() == 1

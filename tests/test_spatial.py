@@ -119,23 +119,78 @@ def test_ragged_ring(spark, rows, cell):
     assert {r[0] for r in kept.select("id").collect()} == expected
     tiles = op.tile_polygons(polygon, "name", cell)
     held = tiles.agg(F.sum(F.size("tile_edges"))).first()[0]
-    spanned = sum(
+    boxes = sum(
         (int(max(a[0], b[0]) // cell) - int(min(a[0], b[0]) // cell) + 1)
         * (int(max(a[1], b[1]) // cell) - int(min(a[1], b[1]) // cell) + 1)
         for r in shape["coordinates"] for a, b in zip(r, r[1:] + r[:1])
     )
-    assert held == spanned  # each edge is held by the cells of its own box, by no others
+    assert 490 <= held <= boxes  # each edge is held by cells of its own box, by no others
     assert tiles.where("size(tile_turns) > 40").count() == 0
 
 
+def test_tiles_grow_with_the_outline_not_the_area(spark):
+    ring = [[-85, -40], [85, -40], [0, 40], [-85, -40]]
+    text = json.dumps({"properties": {"name": "t"}, "geometry": {"type": "Polygon", "coordinates": [ring]}})
+    area = src.parse_features(spark.createDataFrame([(text,)], "f string"), "f", {"name": "string"})
+    counts = []
+    for cell in (2.0, 1.0, 0.25):
+        tiles = op.tile_polygons(area, "name", cell)
+        counts.append(tiles.count())
+        # the tiles cover the triangle once: inside tiles by their area, the rest along the outline
+        inside = tiles.where("tile_inside").agg(F.sum(F.expr("power(4, tile_level)"))).first()[0]
+        edged = tiles.where("NOT tile_inside").count()
+        assert inside * cell**2 <= 170 * 80 / 2 <= (inside + edged) * cell**2
+    assert counts[1] < 2.6 * counts[0] and counts[2] < 4.6 * counts[1]  # not 4 and 16 times
+    assert counts[2] < 13_851
+
+
 def test_only_crowded_cells_are_dealt_out(spark, rows):
-    data = [(0, 0)] * 500 + [(1, i % 50) for i in range(500)]
-    points = spark.createDataFrame(data, "__cell_x long, __cell_y long")
-    crowded = _crowded_cells(points)
-    assert rows(crowded) == [(0, 0, 4)]  # half of the points are 4 shares of 8 tasks
-    even = spark.createDataFrame([(i, i) for i in range(64)], "__cell_x long, __cell_y long")
-    assert _crowded_cells(even).count() == 0
-    assert _crowded_cells(even.where("__cell_x < 0")).count() == 0
+    def points(cells):
+        df = spark.createDataFrame(cells, "x long, y long")
+        return df.select(F.struct(F.lit(0).alias("level"), "x", "y").alias("__cell"))
+
+    def tiles(cells):
+        return spark.createDataFrame(
+            [(0, x, y) for x, y in cells], "tile_level int, tile_x long, tile_y long")
+
+    single = [(0, 0)] + [(1, i) for i in range(50)]
+    many = points([(0, 0)] * 500 + [(1, i % 50) for i in range(500)])
+    crowded = _crowded_cells(many, tiles(single), True)
+    assert rows(crowded) == [(0, 0, 0, 4, 1)]  # half of the tests are 4 shares of 8 tasks
+    even = points([(i, i) for i in range(64)])
+    assert _crowded_cells(even, tiles([(i, i) for i in range(64)]), True).count() == 0
+    assert _crowded_cells(even.where("__cell.x < 0"), tiles(single), True).count() == 0
+    # a cell crowded with tiles too: they are parted, but not where a point may match once only
+    stacked = tiles(single + [(0, 0)] * 600)
+    assert rows(_crowded_cells(many, stacked, True)) == [(0, 0, 0, 3, 3)]
+    assert rows(_crowded_cells(many, stacked, False)) == [(0, 0, 0, 8, 1)]
+
+
+def test_a_cell_crowded_on_both_sides_is_shared(spark):
+    """Hundreds of polygons over one cell and thousands of points in it."""
+    def square(i):
+        w = (100 + i) / 1000
+        ring = [[0, 0], [w, 0], [w, 0.9], [0, 0.9], [0, 0]]
+        geometry = {"type": "Polygon", "coordinates": [ring]}
+        return (json.dumps({"properties": {"name": str(i)}, "geometry": geometry}),)
+
+    areas = src.parse_features(
+        spark.createDataFrame([square(i) for i in range(600)], "f string"), "f", {"name": "string"})
+    points = spark.range(3000, numPartitions=12).select(
+        F.col("id"), (F.col("id") % 1000 / 1000).alias("longitude"), F.lit(0.5).alias("latitude"))
+    joined = op.match_points(points, areas, "name", broadcast_bytes=0)
+    option = "spark.sql.adaptive.enabled"
+    spark.conf.set(option, "false")
+    try:
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset(option)
+    # a square of width w holds the points up to w: 3 * (1000 w + 1) of them
+    assert sum(sizes) == sum(3 * (100 + i + 1) for i in range(600))
+    assert len(sizes) >= 5 and max(sizes) < 0.6 * sum(sizes)
+    kept = op.keep_inside(points, areas, "name", broadcast_bytes=0)
+    assert kept.count() == 3 * 700
+    assert op.keep_inside(points, areas, "name", cell=0.01).count() == 3 * 700
 
 
 def test_copies_of_one_point_are_spread(spark, polygons):
@@ -205,25 +260,77 @@ def test_no_nested_loop_and_points_are_not_shuffled(lattice, polygons):
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
-def test_the_box_of_the_polygons_reaches_the_reader(lattice, polygons, rows, tmp_path):
+@pytest.mark.parametrize("bad", ["fail", "drop"])
+def test_the_box_of_the_polygons_reaches_the_reader(lattice, polygons, rows, tmp_path, bad):
     points, expected = lattice
     points.write.parquet(str(tmp_path / "points"))
     stored = points.sparkSession.read.parquet(str(tmp_path / "points"))
-    joined = op.match_points(op.point_columns(stored, bad="drop"), polygons, "name")
+    joined = op.match_points(stored, polygons, "name", bad=bad)
     plan = joined._sc._jvm.PythonSQLUtils.explainString(joined._jdf.queryExecution(), "formatted")
-    assert "GreaterThanOrEqual(longitude" in plan and "LessThanOrEqual(latitude" in plan
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    assert "GreaterThanOrEqual(longitude" in pushed and "LessThanOrEqual(latitude" in pushed
+    # what could hide a bad point from the check must not reach the reader alone
+    assert ("IsNotNull(longitude)" in pushed) == (bad == "drop")
     assert joined.count() == len(expected)
 
 
-def test_points_that_are_not_numbers_match_nothing(spark, polygons):
+def test_points_that_are_not_numbers_match_nothing_if_dropped(spark, polygons):
     nan, inf = float("nan"), float("inf")
     odd = spark.createDataFrame(
         [(nan, 1.0), (1.0, nan), (inf, 1.0), (None, 1.0), (nan, nan)],
         "longitude double, latitude double",
     )
     for cell in (0.5, 1.0, 30.0):
-        assert op.match_points(odd, polygons, "name", cell=cell).count() == 0
-    assert op.match_points(odd, polygons.where("name = 'none'"), "name").count() == 0
+        assert op.match_points(odd, polygons, "name", cell=cell, bad="drop").count() == 0
+    nothing = polygons.where("name = 'none'")
+    assert op.match_points(odd, nothing, "name", bad="drop").count() == 0
+    with pytest.raises(ValueError, match="unknown mode"):
+        op.match_points(odd, polygons, "name", bad="keep")
+
+
+BAD = {"missing x": (None, 1.0), "missing y": (1.0, None), "far": (200.0, 1.0),
+       "north": (1.0, -91.0), "no number": (float("nan"), 1.0), "infinite": (float("inf"), 1.0)}
+
+
+def _points_with(spark, kind, path):
+    """The bad point alone and beside a good one; stored, each in a file with its own statistics."""
+    schema = "longitude double, latitude double"
+    good, bad = (spark.createDataFrame([p], schema) for p in ((1.0, 1.0), BAD[kind]))
+    if path is None:
+        return [bad, good.union(bad)]
+    for n, parts in enumerate(((bad,), (good, bad))):
+        for part in parts:
+            part.coalesce(1).write.mode("append").parquet(f"{path}/{n}")
+    return [spark.read.parquet(f"{path}/{n}") for n in (0, 1)]
+
+
+def _fails(job):
+    with pytest.raises(PySparkException, match="bad coordinates"):
+        job().collect()
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_every_kind_of_bad_point_is_seen(spark, polygons, tmp_path, stored):
+    shapes = op.settle(polygons.where("name = 'concave'"))
+    for kind in BAD:
+        path = tmp_path / kind.replace(" ", "_") if stored else None
+        for points in _points_with(spark, kind, path):
+            _fails(lambda: op.keep_inside(points, shapes, "name"))
+            _fails(lambda: op.point_columns(points).where("longitude < 150 AND latitude IS NOT NULL"))
+
+
+@pytest.mark.parametrize("kind", ["missing x", "far"])
+def test_a_bad_point_fails_every_spatial_job(spark, polygons, tmp_path, kind):
+    """With and without polygons, broadcast or shuffled."""
+    shapes = op.settle(polygons.where("name = 'concave'"))
+    none, number = shapes.where("false"), {"n": op.measure_rows()}
+    points = _points_with(spark, kind, tmp_path)[1]
+    _fails(lambda: op.count_in_polygons(shapes, points, "name", number))
+    _fails(lambda: op.keep_inside(points, none, "name"))
+    _fails(lambda: op.count_in_polygons(none, points, "name", number))
+    _fails(lambda: op.spatial_left_join(none, points, "name"))
+    _fails(lambda: op.spatial_left_join(shapes, points, "name", broadcast_bytes=0))
+    _fails(lambda: op.keep_inside(op.point_columns(points), shapes, "name"))
 
 
 def test_bad_coordinates(spark):
