@@ -80,58 +80,81 @@ class Template:
             before = before.replace("{role}", self.escape(role))
         return [(before, False), (self.escape(text), turn.loss), (turn.after, False)]
 
-    def read(self, formatted: str) -> tuple[str, str]:
-        """Role and text of one formatted turn."""
+    def head(self, formatted: str) -> tuple[str, str, int] | None:
+        """Role, end mark and length of the head of a turn, if all of it is there."""
         for role, turn in self.turns.items():
             if formatted.startswith(turn.before):
-                return role, self.unescape(formatted[len(turn.before) : -len(turn.after)])
-        head, middle = self.other.before.split("{role}")
-        role, text = formatted[len(head) :].split(middle, 1)
-        return self.unescape(role), self.unescape(text[: -len(self.other.after)])
+                return role, turn.after, len(turn.before)
+        start, middle = self.other.before.split("{role}")
+        at = formatted.find(middle, len(start)) if formatted.startswith(start) else -1
+        if at < 0:
+            return None
+        return self.unescape(formatted[len(start) : at]), self.other.after, at + len(middle)
+
+    def read(self, formatted: str) -> tuple[str, str]:
+        """Role and text of one formatted turn."""
+        role, after, begin = self.head(formatted)
+        return role, self.unescape(formatted[begin : -len(after)])
+
+
+class Machine:
+    """The state machine of one conversation: its state is the last role, None after an error."""
 
-    def allows(self, state: str | None, role: str) -> bool:
-        """One step of the state machine; the state after it is the role, None after an error."""
-        return state is not None and role in self.follows.get(state, ())
+    def __init__(self, template: Template) -> None:
+        self.template, self.state = template, ""
+
+    def accepts(self, role: str) -> bool:
+        allowed = self.state is not None and role in self.template.follows.get(self.state, ())
+        self.state = role if allowed else None
+        return allowed
 
 
 DEFAULT = Template()
-SEGMENTS = "conv_id long, turn long, role string, segments array<struct<text:string,loss:boolean>>"
+SEGMENTS = (
+    "conv_id long, turn long, role string, "
+    "segments array<struct<text:string,loss:boolean,refused:boolean>>"
+)
 
 
 def format_turns(conversations: DataFrame, template: Template = DEFAULT) -> DataFrame:
-    """(conv_id, turn, role, segments), one row per turn, without a shuffle.
-
-    Concatenated, the segments of a turn are its formatted text; ``loss`` marks what is
-    trained on. A NULL text or role is empty.
+    """(conv_id, turn, role, segments), one row per turn, conversations in order.
+
+    The turns are sorted and run through the state machine, which passes each on as segments:
+    concatenated over a conversation they are its formatted text, ``loss`` marks what is trained
+    on, and ``refused`` the turns that the machine does not accept, which are all after the
+    first. Turns with the same number are ordered by role and text. A NULL text or role is
+    empty, a NULL conv_id a conversation; repeated rows are turns; other columns are left out.
+    A task holds one turn at a time, however long the conversation is.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = pa.list_(pa.struct([("text", pa.string()), ("loss", pa.bool_())]))
+        kind = [("text", pa.string()), ("loss", pa.bool_()), ("refused", pa.bool_())]
+        names = ["conv_id", "turn", "role", "segments"]
+        conv, machine = None, None
         for batch in batches:
             out = []
-            for role, text in zip(
-                batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True
-            ):
+            columns = [batch.column(n).to_pylist() for n in ("conv_id", "role", "text")]
+            for own, role, text in zip(*columns, strict=True):
+                if machine is None or own != conv:
+                    conv, machine = own, Machine(template)
+                refused = not machine.accepts(role)
                 out.append(
-                    [{"text": t, "loss": x} for t, x in template.segments(role or "", text or "")]
+                    [
+                        {"text": t, "loss": loss, "refused": refused}
+                        for t, loss in template.segments(role, text)
+                    ]
                 )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("conv_id"), batch.column("turn"), batch.column("role"), pa.array(out, pieces)],
-                names=["conv_id", "turn", "role", "segments"],
-            )
+            segments = pa.array(out, pa.list_(pa.struct(kind)))
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names[:3]], segments], names)
 
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-        F.col("text").cast("string").alias("text"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    return rows.mapInArrow(run, SEGMENTS)
-
-
-def in_order(turns: DataFrame) -> DataFrame:
-    """Turns of a conversation next to each other, by turn, then role, then text."""
-    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "segments")
+    in_order = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return in_order.mapInArrow(run, SEGMENTS)
 
 
 SUMMARY = (
@@ -140,39 +163,35 @@ SUMMARY = (
 )
 
 
-def summarise(turns: DataFrame, template: Template = DEFAULT) -> DataFrame:
-    """One row per conversation, read back from the formatted turns of ``format_turns``.
-
-    Digests of the turns and of all text under the loss mask, lengths in code points, whether
-    the state machine accepts the order of roles, and the position of the first turn that it
-    refuses (NULL if none; after the last turn if the end is refused).
+def summarise(formatted: DataFrame, template: Template = DEFAULT) -> DataFrame:
+    """One row per conversation, read back from the formatted text of ``format_turns``.
 
-    Rows are ordered first, then streamed: a digest needs a conversation's turns in order, but
-    a task holds one turn and the running digests however long the conversation is, and the
-    formatting is done before, where the rows lie. Turns with the same number are ordered by
-    role and text; a NULL conv_id is a conversation; an empty table gives none.
+    A conversation is read as one text with its mask: where a turn ends and what its role is
+    follows from the marks alone. Returned are digests of the turns and of all text under the
+    mask, lengths in code points, whether the machine accepts the order of roles, and the
+    position of the first turn that it refuses (NULL if none; after the last turn if the end is
+    refused). ``formatted`` must be as ``format_turns`` leaves it, in order within a task; it is
+    streamed, and a task holds the turn that it reads. An empty table gives none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_: _Reader | None = None
         for batch in batches:
             done = []
-            for conv, segments in zip(
-                batch.column("conv_id").to_pylist(),
-                batch.column("segments").to_pylist(),
-                strict=True,
-            ):
+            columns = [batch.column(n).to_pylist() for n in ("conv_id", "segments")]
+            for conv, segments in zip(*columns, strict=True):
                 if open_ is None or open_.conv_id != conv:
                     if open_ is not None:
                         done.append(open_.row())
                     open_ = _Reader(conv, template)
-                open_.add(segments)
+                for s in segments:
+                    open_.feed(s["text"], s["loss"], s["refused"])
             if done:
                 yield _summary(done)
         if open_ is not None:
             yield _summary([open_.row()])
 
-    return in_order(turns).mapInArrow(run, SUMMARY)
+    return formatted.select("conv_id", "segments").mapInArrow(run, SUMMARY)
 
 
 def _summary(rows: list[dict]) -> pa.RecordBatch:
@@ -184,32 +203,59 @@ def _summary(rows: list[dict]) -> pa.RecordBatch:
 
 
 class _Reader:
-    """Reads one conversation turn by turn."""
+    """Reads the formatted text of one conversation, in pieces of any length, and its mask."""
 
     def __init__(self, conv_id: int | None, template: Template) -> None:
-        self.conv_id, self.template, self.state = conv_id, template, ""
+        self.conv_id, self.template = conv_id, template
         self.turns, self.chars, self.loss_chars, self.error = 0, 0, 0, None
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.unread, self.masked = "", ""
+        self.role: str | None = None  # of the turn that is open, with its end mark
+        self.after, self.seen, self.last = "", 0, ""
 
-    def add(self, segments: list[dict]) -> None:
-        formatted = "".join(s["text"] for s in segments)
-        role, text = self.template.read(formatted)
-        self.all.update(f"{role}\n{text}\n".encode())
-        for s in segments:
-            if s["loss"]:
-                plain = self.template.unescape(s["text"])
-                self.loss.update(plain.encode())
-                self.loss_chars += len(plain)
-        if self.template.allows(self.state, role):
-            self.state = role
-        else:
-            self.state = None
-            self.error = self.turns if self.error is None else self.error
-        self.turns += 1
-        self.chars += len(formatted)
+    def feed(self, text: str, loss: bool, refused: bool) -> None:
+        self.chars += len(text)
+        if refused and self.error is None:
+            self.error = self.turns
+        if loss:
+            self.masked += text
+        elif self.masked:
+            self._close_mask()
+        self.unread += text
+        while self._read_mark():
+            pass
+
+    def _close_mask(self) -> None:
+        plain = self.template.unescape(self.masked)
+        self.loss.update(plain.encode())
+        self.loss_chars += len(plain)
+        self.masked = ""
+
+    def _read_mark(self) -> bool:
+        """Take the head or the text of the next turn, if all of it is there."""
+        if self.role is None:
+            head = self.template.head(self.unread)
+            if head is None:
+                return False
+            self.role, self.after, begin = head
+            self.unread, self.seen = self.unread[begin:], 0
+            return True
+        at = self.unread.find(self.after, self.seen)
+        if at < 0:
+            self.seen = max(0, len(self.unread) - len(self.after) + 1)
+            return False
+        text = self.template.unescape(self.unread[:at])
+        self.all.update(f"{self.role}\n{text}\n".encode())
+        self.unread = self.unread[at + len(self.after) :]
+        self.last, self.role, self.turns = self.role, None, self.turns + 1
+        return True
 
     def row(self) -> dict:
-        if self.error is None and self.state not in self.template.final:
+        if self.masked:
+            self._close_mask()
+        if self.unread or self.role is not None:
+            raise ValueError(f"conversation {self.conv_id} does not end with a turn")
+        if self.error is None and self.last not in self.template.final:
             self.error = self.turns
         return {
             "conv_id": self.conv_id,

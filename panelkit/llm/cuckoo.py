@@ -225,31 +225,36 @@ def find_duplicates(docs: DataFrame) -> DataFrame:
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose texts ``find_duplicates`` keeps, with all their columns.
 
-    Texts are not shuffled, but for the kept rows of groups in which id and text repeat.
+    A NULL text is the empty one, and an empty table stays empty. Of equal texts the row with
+    the most characters stays, then the one with the smallest id (NULL is last); of rows that
+    repeat id and text too the one whose other columns have the smallest hash, and one of those
+    equal in everything. Texts are read once to find the groups and once to be kept or dropped:
+    what is joined are digests, by broadcast while the groups are few, else the rows meet them
+    by their digest.
     """
     marked = docs.withColumns(
         {
             "__digest": content_digest(F.col("text").cast("string")),
             "__chars": F.length(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("long"),
             "__id": F.col("doc_id").cast("long"),
+            "__row": F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind]),
         }
     )
     slim = marked.select(
         F.col("__digest").alias("digest"),
         F.col("__chars").alias("chars"),
         F.col("__id").alias("doc_id"),
-        F.lit(0).cast("long").alias("row"),
+        F.col("__row").alias("row"),
     )
     groups = settle(duplicate_groups(slim)).select(
         F.col("digest").alias("__digest"),
         F.col("group_size").alias("__size"),
-        F.col("chars").alias("__best_chars"),
         F.col("doc_id").alias("__best_id"),
+        F.col("row").alias("__best_row"),
     )
     joined = marked.join(_small(groups), "__digest", "left")
     alone = joined.where(F.col("__size").isNull())
-    best = (F.col("__chars") == F.col("__best_chars")) & F.col("__id").eqNullSafe(
-        F.col("__best_id")
-    )
+    best = (F.col("__row") == F.col("__best_row")) & F.col("__id").eqNullSafe(F.col("__best_id"))
+    # only rows that are equal in everything are still more than one
     kept = joined.where(F.col("__size").isNotNull() & best).dropDuplicates(["__digest"])
     return alone.unionByName(kept).select(docs.columns)

@@ -430,7 +430,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` without the documents that ``near_duplicates`` does not keep."""
+    """Rows of ``docs`` without the documents that ``near_duplicates`` does not keep.
+
+    All columns stay. A document without words (also NULL) stays; of a class the document with
+    the smallest id stays (NULL is last), of several texts under that id the one with the
+    smallest hash, and rows that repeat both id and text are one document: they stay or go
+    together. An empty table stays empty.
+    """
     own = documents(docs).withColumn("text_hash", F.xxhash64("text"))
     gone = _classified(own).where(~F.col("kept"))
     gone = settle(

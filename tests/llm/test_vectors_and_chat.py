@@ -133,3 +133,38 @@ def test_odd_conversations(spark):
     assert errors == {1: 2, 2: 0, 3: 2, 4: 0, None: None, 5: 0, 6: None}
     assert all(r["valid"] == (r["first_error"] is None) for r in found.values())
     assert chat.summarise(chat.format_turns(turns.where("false"))).count() == 0
+
+
+def test_turns_are_found_by_their_marks_in_pieces_of_any_length():
+    draw, template = random.Random(3), chat.DEFAULT
+    pieces = [*template.control(), "\\", "<", " [/", "</s>", " ", "a", "\n", "日", "INST]"]
+    for _ in range(300):
+        turns = [(draw.choice(["system", "user", "assistant", "tool", "", "[/ROLE] x"]),
+                  "".join(draw.choices(pieces, k=draw.randint(0, 7)))) for _ in range(draw.randint(0, 6))]
+        marked = [(c, loss) for role, text in turns for t, loss in template.segments(role, text) for c in t]
+        reader, at = chat._Reader(1, template), 0
+        while at < len(marked):
+            step = draw.randint(1, 9)
+            same = [marked[at]]
+            while len(same) < step and at + len(same) < len(marked) and marked[at + len(same)][1] == same[0][1]:
+                same.append(marked[at + len(same)])
+            reader.feed("".join(c for c, _ in same), same[0][1], False)
+            at += len(same)
+        row = reader.row()
+        everything = "".join(f"{r}\n{t}\n" for r, t in turns)
+        loss = "".join(t for r, t in turns if r == "assistant")
+        assert (row["n_turns"], row["turns_sha256"]) == (len(turns), hashlib.sha256(everything.encode()).hexdigest())
+        assert (row["loss_chars"], row["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def test_refused_turns_are_flagged_and_other_columns_do_not_matter(spark):
+    rows = [(1, 0, "user", "a", 1, True), (1, 1, "user", "b", 1, True), (1, 2, "assistant", "c", 1, True),
+            (2, 0, "system", "s", 1, True), (2, 1, "user", "u", 1, True), (2, 2, "assistant", "v", 1, True)]
+    turns = spark.createDataFrame(
+        rows, "conv_id long, turn long, role string, text string, segments int, refused boolean")
+    formatted = chat.format_turns(turns).collect()
+    refused = {(r["conv_id"], r["turn"]): [s["refused"] for s in r["segments"]] for r in formatted}
+    assert {k for k, v in refused.items() if all(v)} == {(1, 1), (1, 2)}
+    assert all(len(set(v)) == 1 for v in refused.values())
+    machine = chat.Machine(chat.DEFAULT)
+    assert [machine.accepts(r) for r in ("user", "assistant", "user", "system", "user")] == [True] * 3 + [False] * 2
