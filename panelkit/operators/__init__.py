@@ -17,12 +17,12 @@ from .spatial import (
     count_in_polygons, covered_by, keep_inside, match_points, point_columns, point_problems,
     spatial_left_join, tile_polygons,
 )
-from .staging import fits_in_broadcast, scratch_path, settle
+from .staging import drop_scratch, fits_in_broadcast, scratch_path, settle
 
 __all__ = [
     "Measure", "add_in_stages", "add_share", "add_stack", "apply_to", "arrange", "bind_rows",
     "col_range", "complete", "complete_sum", "count_in_polygons", "covered_by",
-    "deflate", "distinct_rows", "drop_first_rows", "drop_suffix", "first_rows",
+    "deflate", "distinct_rows", "drop_first_rows", "drop_scratch", "drop_suffix", "first_rows",
     "fits_in_broadcast",
     "group_constant", "guess_types", "harmonise", "heavy_keys", "keep_inside", "left_join",
     "lenient_sum", "lookup_table", "match_points", "measure_present", "measure_rows",

@@ -206,14 +206,13 @@ def tile_polygons(
     """
     if id_col != ROW:
         polygons = _numbered(polygons.select(id_col, edges))
-    width = F.array_max(
-        F.transform(F.col(edges), lambda e: F.greatest(e.x1, e.x2))
-    ) - F.array_min(F.transform(F.col(edges), lambda e: F.least(e.x1, e.x2)))
+    ends = F.flatten(F.transform(edges, lambda e: F.array(e.x1, e.x2)))
+    width = F.array_max(ends) - F.array_min(ends)
     message = F.concat(F.lit("polygon too wide: "), F.col(id_col).cast("string"))
     narrow = F.when(width > max_width, F.raise_error(message).cast("boolean")).otherwise(True)
     key = list(dict.fromkeys([ROW, id_col]))
     e = F.col("__edge")
-    spans = _row_spans(polygons.where(narrow), key, edges, cell, tolerance)
+    spans = settle(_row_spans(polygons.where(narrow), key, edges, cell, tolerance))
     place = [*key, "tile_x", "tile_y"]
     entering = spans.select(
         *key, "__edge", "tile_y", F.explode(F.sequence("__left", "__right")).alias("tile_x")
@@ -222,9 +221,13 @@ def tile_polygons(
     ends = spans.select(*key, "tile_y", "__left", F.explode(heights).alias("__height"))
     turns = _odd_runs(ends, [*key, "tile_y", "__height"])
     passing = spans.where("__first < tile_y AND tile_y <= __last").select(*key, "tile_y", "__left")
-    cells = settle(entering.select(*place).distinct())
+    across = F.greatest(
+        F.max("__right") - F.min("__left"), F.max("tile_y") - F.min("tile_y")
+    )
+    widest = spans.groupBy(ROW).agg(across.alias("n")).agg(F.max("n")).first()[0] or 0
+    cells = entering.select(*place).distinct()
     asked = cells.select(*place, F.lit(0).alias("tile_level")).unionByName(
-        _inner_candidates(cells, key), allowMissingColumns=True
+        _inner_candidates(cells, key, int(widest)), allowMissingColumns=True
     )
     judged = _with_base(asked, passing, key)
     whole = judged.where("__edged = 0 AND tile_base = 1")
@@ -252,17 +255,14 @@ def tile_polygons(
     return held.select(id_col, *names).unionByName(none.select(id_col, *names))
 
 
-def _inner_candidates(cells: DataFrame, key: Sequence[str]) -> DataFrame:
+def _inner_candidates(cells: DataFrame, key: Sequence[str], widest: int) -> DataFrame:
     """Tiles without an edge that have a sister with one, on all levels: inside or outside.
 
-    ``cells`` are those with edges. On the highest level a polygon covers two cells each way at
-    most, so none of them lies inside, and every inside cell has one such tile that holds it.
+    ``cells`` are those with edges, and no two of a polygon are further apart than ``widest``. On
+    the highest level a polygon then covers two cells each way at most, so none of them lies
+    inside, and every inside cell has one such tile that holds it.
     """
-    span = cells.groupBy(ROW).agg(
-        F.greatest(F.max("tile_x") - F.min("tile_x"), F.max("tile_y") - F.min("tile_y")).alias("n")
-    )
-    widest = span.agg(F.max("n")).first()[0] or 0
-    highest = -(-int(widest).bit_length() // STEP) * STEP
+    highest = -(-widest.bit_length() // STEP) * STEP
     levels = F.explode(F.sequence(F.lit(0), F.lit(highest), F.lit(STEP))).alias("tile_level")
     edged = cells.select(*key, "tile_x", "tile_y", levels)
     up = {c: F.expr(f"shiftright({c}, tile_level)") for c in ("tile_x", "tile_y")}
@@ -304,27 +304,25 @@ def _with_base(asked: DataFrame, passing: DataFrame, key: Sequence[str]) -> Data
     )
 
 
-def _outermost(tiles: DataFrame) -> DataFrame:
+def _outermost(tiles: DataFrame, highest: int) -> DataFrame:
     """The tiles without those that lie within an inside tile of whatever polygon.
 
     Of the cells that hold a point, one at most then has tiles that can match it.
     """
-    highest = tiles.agg(F.max("tile_level")).first()[0] or 0
-    inside = tiles.where("tile_inside").select("tile_level", "tile_x", "tile_y").distinct()
-    inside = settle(inside)
+    same = ["tile_level", "tile_x", "tile_y"]
+    inside = tiles.where("tile_inside").select(*same).distinct()
     above = F.explode(F.sequence(F.col("tile_level"), F.lit(highest), F.lit(STEP))).alias("__level")
-    over = tiles.select("tile_level", "tile_x", "tile_y").distinct().select("*", above)
-    up = [F.expr(f"shiftright({c}, __level - tile_level)").alias(f"__{c}") for c in ("tile_x", "tile_y")]
+    over = tiles.select(*same).distinct().select("*", above)
+    up = [F.expr(f"shiftright({c}, __level - tile_level)").alias(f"__{c}") for c in same[1:]]
     over = over.select("*", *up)
     covered = over.join(
-        inside.select(*[F.col(c).alias(f"__in_{c}") for c in inside.columns]),
+        inside.select(*[F.col(c).alias(f"__in_{c}") for c in same]),
         (F.col("__level") == F.col("__in_tile_level"))
         & (F.col("__tile_x") == F.col("__in_tile_x"))
         & (F.col("__tile_y") == F.col("__in_tile_y")),
     )
     # an inside tile is covered by itself, which does not count
-    deeper = covered.where("__level > tile_level").select("tile_level", "tile_x", "tile_y").distinct()
-    same = ["tile_level", "tile_x", "tile_y"]
+    deeper = covered.where("__level > tile_level").select(*same).distinct()
     left = tiles.join(deeper, same, "left_anti")
     # beside an inside tile of one cell the edges of others need no test
     whole = left.where("tile_inside").dropDuplicates(same)
@@ -382,8 +380,6 @@ def _join_tiles(
     """
     names = points.columns
     tiles = settle(tiles)
-    if how == "left_semi":  # a point must not be found on two levels
-        tiles = settle(_outermost(tiles))
     tile_bytes = F.size("tile_edges") * EDGE_BYTES + F.size("tile_turns") * 8 + TILE_BYTES
     low = {c: F.expr(f"shiftleft(tile_{c}, tile_level)") for c in ("x", "y")}
     high = {c: F.expr(f"shiftleft(tile_{c} + 1, tile_level) - 1") for c in ("x", "y")}
@@ -395,6 +391,8 @@ def _join_tiles(
         F.min(low["y"]).alias("south"),
         F.max(high["y"]).alias("north"),
     ).first()
+    if how == "left_semi" and len(measured["levels"]) > 1:  # a point has one row per level
+        tiles = _outermost(tiles, max(measured["levels"]))
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     # the box of all tiles, a cell wider on each side; on a stored column it reaches the reader
     near = F.lit(False)

@@ -45,4 +45,24 @@ def scratch_path(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="panelkit-"))
         folder = context.getCheckpointDir()
-    return f"{folder}/panelkit-{uuid.uuid4().hex}"
+    return f"{folder}/{_own_prefix(spark)}{uuid.uuid4().hex}"
+
+
+def _own_prefix(spark: SparkSession) -> str:
+    return f"panelkit-{spark.sparkContext.applicationId}-"
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete what this application has settled, and return how many tables that were.
+
+    Results that still read a settled table can no longer be computed, so call it at the end.
+    Tables of other applications in the same folder stay.
+    """
+    folder = scratch_path(spark).rpartition("/")[0]
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{_own_prefix(spark)}*")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [status.getPath() for status in system.globStatus(path) or []]
+    for one in found:
+        system.delete(one, True)
+    return len(found)

@@ -1,6 +1,7 @@
 import tempfile
 
 import pytest
+from panelkit.operators import drop_scratch
 from pyspark.sql import SparkSession
 
 
@@ -18,6 +19,7 @@ def spark():
     if session.sparkContext.getCheckpointDir() is None:
         session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="panelkit-checkpoints-"))
     yield session
+    drop_scratch(session)
     session.stop()
 
 

@@ -353,3 +353,13 @@ def test_rows_of_heavy_keys_are_dealt_out(spark, rows):
             spark.conf.unset(name)
     assert op.heavy_keys(left.where("false"), ["k"]).count() == 0
     assert op.left_join(left.where("false"), right, "k", spread=True).count() == 0
+
+
+def test_scratch_of_this_application_is_dropped(spark, tmp_path):
+    session = spark.newSession()
+    folder = op.scratch_path(spark).rpartition("/")[0]
+    other = f"{folder}/panelkit-other-1"
+    spark.range(3).write.mode("overwrite").parquet(other)
+    settled = op.settle(spark.range(5))
+    assert settled.count() == 5 and op.drop_scratch(session) >= 1
+    assert spark.read.parquet(other).count() == 3 and op.drop_scratch(spark) == 0
