@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 
 SLICE_BYTES = 1_000_000
 """Text handled at once by a Python worker; a single longer text is a slice of its own."""
+KNOWN_WORDS = 30_000
+"""Distinct words that a worker of a stage of the pipeline remembers in each of two generations.
+Workers live as long as their executor and keep the memory that their largest task took."""
+PIECE_WORDS = 8192
+"""New words whose values are found at once: the arrays for that are far larger than the words."""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -133,6 +138,23 @@ def joined_ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, counts) + np.arange(counts.sum())
 
 
+def in_pieces(
+    learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
+) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """``learn`` of PIECE_WORDS words at a time; the values of a word depend on no other word."""
+
+    def learnt(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(words) <= PIECE_WORDS:
+            return learn(words)
+        found = [
+            learn(words[at : at + PIECE_WORDS]) for at in range(0, len(words), PIECE_WORDS)
+        ]
+        values, counts = zip(*found, strict=True)
+        return np.concatenate(values), np.concatenate(counts)
+
+    return learnt
+
+
 class _Numbers(dict):
     """Numbers of words in the order in which they are first asked for."""
 

@@ -23,8 +23,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from . import bpe
-from .common import RecentWords, documents, joined_ranges, text_slices, texts_of, total_by
-from .transducer import KNOWN_WORDS
+from .common import (
+    KNOWN_WORDS,
+    RecentWords,
+    documents,
+    in_pieces,
+    joined_ranges,
+    text_slices,
+    texts_of,
+    total_by,
+)
 
 WINDOW = 4096
 END_OF_DOCUMENT = 2
@@ -46,9 +54,9 @@ class WordEncoder:
     def __init__(self, path: str) -> None:
         self.bpe = bpe.load(path)
         self.words = RecentWords(
-            lambda new: self.bpe.merge_flat([w.encode() for w in new]), KNOWN_WORDS
+            in_pieces(lambda new: self.bpe.merge_flat([w.encode() for w in new])), KNOWN_WORDS
         )
-        self.pieces = RecentWords(self._by_library, KNOWN_WORDS)
+        self.pieces = RecentWords(in_pieces(self._by_library), KNOWN_WORDS)
         self.ends = np.zeros(self.bpe.size, bool)  # tokens that end a sentence
         for token, n in self.bpe.vocab.items():
             self.ends[n] = token.removesuffix(self.bpe.suffix).endswith((".", "!", "?", "ãĢĤ"))

@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
+    KNOWN_WORDS,
     RecentWords,
     documents,
     held_out,
+    in_pieces,
     joined_ranges,
     map_texts,
     mix64,
@@ -29,7 +31,6 @@ from .common import (
     texts_of,
     thinned,
 )
-from .transducer import KNOWN_WORDS
 
 BUCKETS = 1 << 16
 DIMENSIONS = 8
@@ -261,7 +262,7 @@ class Scorer:
 
     def __init__(self, model: QualityModel) -> None:
         self.model = model
-        self.words = RecentWords(model.word_sums, KNOWN_WORDS)
+        self.words = RecentWords(in_pieces(model.word_sums), KNOWN_WORDS)
 
     def scores(self, texts: list[str]) -> np.ndarray:
         cut = [t.split() for t in texts]

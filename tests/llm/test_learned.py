@@ -1,5 +1,6 @@
 """Language and quality against held-out labels; nothing but text may matter."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -146,6 +147,27 @@ def test_scores_equal_the_softmax_of_mean_vectors(monkeypatch):
             assert np.isclose(score, 1 / (1 + np.exp(logits[0] - logits[1])), atol=1e-5)
 
 
+def test_a_worker_holds_few_words_and_learns_them_in_pieces():
+    """Many different words take little memory, and scores do not depend on what was met before."""
+    draw = np.random.default_rng(2)
+    vectors = draw.normal(size=(quality.BUCKETS, quality.DIMENSIONS)).astype(np.float32)
+    model = quality.QualityModel(vectors, np.array([[1.0, -1.0]] * quality.DIMENSIONS), np.zeros(2))
+    texts = [" ".join(f"word{n:08d}" for n in range(at, at + 20_000)) for at in range(0, 160_000, 20_000)]
+    scorer = quality.Scorer(model)
+    tracemalloc.start()
+    try:
+        scores = [scorer.scores([t])[0] for t in texts]
+        held, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert len(scorer.words.now[0]) + len(scorer.words.before[0]) <= 100_000
+    assert held < 25e6 and most < 60e6
+    assert scores == [quality.Scorer(model).scores([t])[0] for t in texts]
+    values, counts = model.word_sums(texts[0].split())
+    in_pieces, each = common.in_pieces(model.word_sums)(texts[0].split())
+    assert (values == in_pieces).all() and (counts == each).all()
+
+
 def test_word_order_matters():
     texts = ["up down up down", "up up down down"] * 30
     model = quality.fit([quality.text_features(t) for t in texts], [1, 0] * 30)
