@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from panelkit.llm import cuckoo, dart_minhash, disclosure, packing, quality
+from panelkit.llm.common import KNOWN_WORDS
 from panelkit.operators.staging import settle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,8 +43,8 @@ def personal_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in windows of 4096 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Pieces of documents in windows of 4096 tokens. Workers that served other stages remember less."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), KNOWN_WORDS)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -139,16 +139,14 @@ def joined_ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def in_pieces(
-    learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
+    learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], size: int = PIECE_WORDS
 ) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
-    """``learn`` of PIECE_WORDS words at a time; the values of a word depend on no other word."""
+    """``learn`` of ``size`` words at a time; the values of a word depend on no other word."""
 
     def learnt(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(words) <= PIECE_WORDS:
+        if len(words) <= size:
             return learn(words)
-        found = [
-            learn(words[at : at + PIECE_WORDS]) for at in range(0, len(words), PIECE_WORDS)
-        ]
+        found = [learn(words[at : at + size]) for at in range(0, len(words), size)]
         values, counts = zip(*found, strict=True)
         return np.concatenate(values), np.concatenate(counts)
 

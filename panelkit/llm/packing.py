@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from . import bpe
 from .common import (
-    KNOWN_WORDS,
+    PIECE_WORDS,
     RecentWords,
     documents,
     in_pieces,
@@ -33,6 +33,7 @@ from .common import (
     texts_of,
     total_by,
 )
+from .transducer import KNOWN_WORDS
 
 WINDOW = 4096
 END_OF_DOCUMENT = 2
@@ -48,15 +49,18 @@ class WordEncoder:
     """Ids of the lower-case word vocabulary, equal to those of the tokenizers library.
 
     Latin-1 texts are split by a pattern and their words merged here; of other texts the
-    library encodes each different piece between two spaces, which no word crosses.
+    library encodes each different piece between two spaces, which no word crosses. Two
+    generations of ``known_words`` words are remembered: fewer take less memory and more time.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, known_words: int = KNOWN_WORDS) -> None:
+        at_once = max(PIECE_WORDS, known_words // 4)
         self.bpe = bpe.load(path)
         self.words = RecentWords(
-            in_pieces(lambda new: self.bpe.merge_flat([w.encode() for w in new])), KNOWN_WORDS
+            in_pieces(lambda new: self.bpe.merge_flat([w.encode() for w in new]), at_once),
+            known_words,
         )
-        self.pieces = RecentWords(in_pieces(self._by_library), KNOWN_WORDS)
+        self.pieces = RecentWords(in_pieces(self._by_library, at_once), known_words)
         self.ends = np.zeros(self.bpe.size, bool)  # tokens that end a sentence
         for token, n in self.bpe.vocab.items():
             self.ends[n] = token.removesuffix(self.bpe.suffix).endswith((".", "!", "?", "ãĢĤ"))
@@ -220,7 +224,7 @@ SCHEMA = (
 )
 
 
-def pack_documents(docs: DataFrame, path: str) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, known_words: int = KNOWN_WORDS) -> DataFrame:
     """One row per piece: which tokens of a document stand where in which window.
 
     ``docs`` has (doc_id, text) and any other columns; ``path`` is the word vocabulary of the
@@ -233,7 +237,7 @@ def pack_documents(docs: DataFrame, path: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = WordEncoder(path, known_words)
         packer = Packer(encoder.ends, TaskContext.get().partitionId())
         for batch in batches:
             for part in text_slices(batch):

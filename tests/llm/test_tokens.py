@@ -251,7 +251,7 @@ def test_vocabulary_is_a_parameter():
 
 def test_an_encoder_holds_few_words():
     """However many different words a worker met, it remembers a bounded number, and ids stay right."""
-    encoder, library = packing.WordEncoder(WORD), Tokenizer.from_file(WORD)
+    encoder, library = packing.WordEncoder(WORD, 30_000), Tokenizer.from_file(WORD)
     letters = "abcdefghijklmnopqrst"
     words = [a + b + c + d + e for a in letters for b in letters for c in letters for d in letters[:8] for e in "xy"]
     texts = [" ".join(words[at : at + 16_000]) for at in range(0, len(words), 16_000)]
